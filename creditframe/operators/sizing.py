@@ -1,0 +1,16 @@
+"""Size checks that decide how a small side travels."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint ``df`` for broadcast when a count that stops at the bound finds it small.
+
+    Above the bound the frame is returned as it is and Spark joins it with a shuffle.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
