@@ -139,6 +139,142 @@ LTV_REPORT = "(CASE WHEN oltv > 90 OR oltv IS NULL THEN '4:91+' WHEN oltv > 80 T
 LTV_MART = "(CASE WHEN oltv > 90 OR oltv IS NULL THEN '91+' WHEN oltv > 80 THEN '81-90' WHEN oltv > 70 THEN '71-80' WHEN oltv > 60 THEN '61-70' ELSE '<=60' END)"
 
 
+QK = "({0} // 100) * 4 + ({0} % 100 - 1) // 3"
+
+view("observations", "", """
+SELECT series, CAST((2005 + m // 12) * 100 + m % 12 + 1 AS INT) AS yyyymm, CASE WHEN m < 198 THEN value END AS value
+FROM (SELECT o_orderkey AS k, o_custkey AS c, o_orderkey % 204 AS m FROM orders) o,
+LATERAL (VALUES ('unemployment_rate', 4e0 + abs(m % 96 - 48) / 16e0 + (c % 8) / 8e0),
+                ('mortgage_rate', CASE WHEN m >= 3 THEN 3e0 + abs(m % 120 - 60) / 16e0 + (k % 4) / 4e0 END),
+                ('real_gdp', 15000e0 + m * 16e0 + (c % 16) * 8e0),
+                ('hpi', 100e0 + abs(m % 144 - 72) / 2e0 + (c % 8) / 8e0)) v(series, value)""")
+view("quarterly", "observations", f"""
+SELECT series, CAST({QK.format('yyyymm')} AS INT) AS quarter_key, avg(value) AS value FROM observations GROUP BY 1, 2""")
+view("macro", "quarterly", """
+SELECT q.quarter_key, max(value) FILTER (series = 'unemployment_rate') AS unemployment_rate,
+       max(value) FILTER (series = 'mortgage_rate') AS mortgage_rate,
+       max((value / (SELECT p.value FROM quarterly p WHERE p.series = q.series AND p.quarter_key = q.quarter_key - 1) - 1) * 400)
+         FILTER (series = 'real_gdp') AS gdp_growth,
+       max(value) FILTER (series = 'hpi') AS hpi,
+       max((value / (SELECT p.value FROM quarterly p WHERE p.series = q.series AND p.quarter_key = q.quarter_key - 4) - 1) * 100)
+         FILTER (series = 'hpi') AS hpi_yoy
+FROM quarterly q GROUP BY q.quarter_key HAVING count(value) > 0""")
+
+view("lq", "months", f"""
+SELECT loan_sequence_number, CAST({QK.format('monthly_reporting_period')} AS INT) AS quarter_key, max(dq) AS max_dq,
+       CAST(coalesce(bool_or(credit_event), false) AS INT) AS credit_event,
+       CAST(coalesce(bool_or(zero_balance_code = '01'), false) AS INT) AS prepaid, min(loan_age) AS age_m
+FROM months GROUP BY 1, 2""")
+view("stops", "lq", """
+SELECT loan_sequence_number, min(quarter_key) FILTER (max_dq >= 6 OR credit_event = 1) AS def_q,
+       min(quarter_key) FILTER (prepaid = 1) AS pp_q, max(quarter_key) AS last_q FROM lq GROUP BY 1""")
+view("kept_quarters", "lq stops", """
+SELECT lq.loan_sequence_number, lq.quarter_key, lq.age_m,
+       CAST(lq.quarter_key IS NOT DISTINCT FROM def_q AS INT) AS default_event,
+       CAST(lq.quarter_key IS NOT DISTINCT FROM pp_q AS INT) AS prepay_event
+FROM lq JOIN stops USING (loan_sequence_number)
+WHERE lq.quarter_key <= coalesce(def_q, 999999) AND lq.quarter_key <= coalesce(pp_q, 999999)""")
+view("panel", "kept_quarters features macro", """
+SELECT k.loan_sequence_number, k.quarter_key // 4 AS cal_year, k.quarter_key % 4 + 1 AS cal_q, k.quarter_key,
+       k.age_m / 3e0 AS loan_age_q, (k.age_m / 3e0) * (k.age_m / 3e0) AS loan_age_q_sq, k.default_event, k.prepay_event,
+       f.fico, f.oltv, f.odti, f.orig_rate, n.unemployment_rate, n.hpi_yoy, n.mortgage_rate,
+       (n.hpi / o.hpi - 1) * 100 AS hpi_growth_since_orig, least(f.oltv * (o.hpi / n.hpi), 250e0) AS current_ltv
+FROM kept_quarters k JOIN features f USING (loan_sequence_number) JOIN macro n ON n.quarter_key = k.quarter_key
+JOIN macro o ON o.quarter_key = f.vintage * 4 + CAST(k.loan_sequence_number[5] AS INT) - 1""")
+
+COEF = {
+    "loan_age_q": (0.253899, 12.23412, 11.85223),
+    "loan_age_q_sq": (-0.064737, 290.149051, 557.650639),
+    "fico": (-0.427612, 730.199637, 55.623467),
+    "current_ltv": (0.352582, 74.84806, 21.090737),
+    "odti": (0.253613, 35.895404, 11.551719),
+    "orig_rate": (0.052371, 5.628725, 0.949671),
+    "unemployment_rate": (0.58025, 6.603191, 2.111722),
+}
+Z = "-6.954892014562259e0" + "".join(f" + ({b}e0) * ({name} - {m}e0) / {sd}e0" for name, (b, m, sd) in COEF.items())
+HAZARD = f"1e0 / (1e0 + exp(-({Z})))"
+
+view("anchors", "", """
+SELECT s, var, x, CAST(v AS DOUBLE) AS v FROM (VALUES
+ ('baseline', 'u', 1, 4.6), ('baseline', 'u', 3, 4.6), ('baseline', 'u', 13, 4.2),
+ ('baseline', 'g', 1, 1.4), ('baseline', 'g', 5, 2.1), ('baseline', 'g', 13, 2.0),
+ ('baseline', 'm', 1, 6.15), ('baseline', 'm', 11, 5.7), ('baseline', 'm', 13, 5.7),
+ ('severely_adverse', 'u', 1, 5.6), ('severely_adverse', 'u', 4, 8.2), ('severely_adverse', 'u', 7, 10.0),
+ ('severely_adverse', 'u', 10, 9.4), ('severely_adverse', 'u', 13, 8.6),
+ ('severely_adverse', 'h', 1, 96.0), ('severely_adverse', 'h', 4, 84.0), ('severely_adverse', 'h', 8, 70.0), ('severely_adverse', 'h', 13, 71.0),
+ ('severely_adverse', 'm', 1, 6.4), ('severely_adverse', 'm', 3, 6.5), ('severely_adverse', 'm', 7, 5.9), ('severely_adverse', 'm', 13, 5.4),
+ ('severely_adverse', 'g', 1, -6.5), ('severely_adverse', 'g', 3, -7.5), ('severely_adverse', 'g', 6, 0.0),
+ ('severely_adverse', 'g', 9, 4.0), ('severely_adverse', 'g', 13, 3.5)) a(s, var, x, v)""")
+BETWEEN = "CASE WHEN lx IS NULL THEN hv WHEN hx IS NULL OR hx = lx THEN lv ELSE lv + (t - lx) * (hv - lv) / (hx - lx) END"
+view("path_points", "anchors", f"""
+SELECT s, var, t, {BETWEEN} AS v
+FROM (SELECT s, var, t, max(x) FILTER (x <= t) AS lx, arg_max(v, x) FILTER (x <= t) AS lv,
+             min(x) FILTER (x >= t) AS hx, arg_min(v, x) FILTER (x >= t) AS hv
+      FROM anchors, range(1, 14) g(t) GROUP BY s, var, t)
+UNION ALL SELECT 'baseline', 'h', t, 100 * pow(1.02e0, t / 4e0) FROM range(1, 14) g(t)""")
+view("paths", "path_points", f"""
+SELECT s AS scenario, CAST(t AS INT) AS quarter_index, (2026 + (t - 1) // 4) || 'Q' || ((t - 1) % 4 + 1) AS quarter,
+       {r("max(v) FILTER (var = 'u')", 3)} AS unemployment_rate, {r("max(v) FILTER (var = 'h')", 3)} AS hpi
+FROM path_points GROUP BY s, t""")
+view("book", "features", f"""
+SELECT *, {FICO_MART} AS fico_band, {LTV_MART} AS ltv_band FROM features
+WHERE cohort = 'covid' AND fico IS NOT NULL AND oltv IS NOT NULL AND odti IS NOT NULL AND orig_rate IS NOT NULL AND orig_upb IS NOT NULL""")
+
+
+def roll(name: str, path_view: str) -> None:
+    """Hazards per loan and path quarter, then survival as a running product."""
+    view(name, f"book {path_view}", f"""
+SELECT *, before * hd AS d, before * greatest(1 - hd - 0.0165e0, 0) AS surv FROM (
+  SELECT *, coalesce(product(greatest(1 - hd - 0.0165e0, 0)) OVER (PARTITION BY scenario, loan_sequence_number ORDER BY quarter_index
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS before
+  FROM (SELECT *, {HAZARD} AS hd FROM (
+          SELECT b.*, p.*, 6e0 + p.quarter_index AS loan_age_q, (6e0 + p.quarter_index) * (6e0 + p.quarter_index) AS loan_age_q_sq,
+                 least(b.oltv * (100 / p.hpi), 250) AS current_ltv FROM book b, {path_view} p)))""")
+
+
+roll("rolled", "paths")
+view("shocks", "", """
+SELECT peak || '/' || decline AS scenario, peak, decline, CAST(t AS INT) AS quarter_index,
+       4.5e0 + (peak - 4.5e0) * least(t, 7) / 7e0 AS unemployment_rate, 100e0 * (1 - decline / 100 * least(t, 8) / 8e0) AS hpi
+FROM (SELECT unnest([4.5e0, 10e0, 15e0]) AS peak), (SELECT unnest([0e0, 30e0, 50e0]) AS decline), range(1, 14) g(t)""")
+roll("shocked", "shocks")
+view("projection", "rolled", f"""
+SELECT scenario, quarter_index, any_value(quarter) AS quarter, {r('any_value(unemployment_rate)', 2)} AS unemployment_rate,
+       {r('any_value(hpi)', 1)} AS hpi_index, {r('avg(surv)', 4)} AS surviving_frac,
+       {r('100 * sum(d) / count(*)', 4)} AS quarterly_default_rate_pct,
+       {r('100 * sum(sum(d)) OVER w / count(*)', 4)} AS cumulative_default_rate_pct,
+       sum(d * orig_upb) AS defaulted_upb, round(sum(sum(d * orig_upb)) OVER w, 0) AS cumulative_defaulted_upb,
+       round(sum(orig_upb), 0) AS portfolio_upb0, count(*) AS n_loans
+FROM rolled GROUP BY scenario, quarter_index
+WINDOW w AS (PARTITION BY scenario ORDER BY quarter_index)""")
+view("losses", "projection", """
+SELECT *, cumulative_defaulted_upb * 0.3e0 AS expected_loss,
+       100 * (cumulative_defaulted_upb * 0.3e0) / portfolio_upb0 AS cumulative_loss_rate_pct FROM projection""")
+view("per_loan", "rolled", """
+SELECT scenario, loan_sequence_number, fico_band, ltv_band, loan_purpose, state, any_value(orig_upb) AS upb,
+       sum(d) AS exp_default, sum(d) * any_value(orig_upb) * 0.3e0 AS exp_loss
+FROM rolled GROUP BY ALL""")
+view("by_segment", "per_loan", """
+SELECT scenario, dimension, segment, count(*) AS loans, sum(upb) AS upb, sum(exp_loss) AS exp_loss,
+       100 * sum(exp_loss) / sum(upb) AS loss_rate_pct, 100 * avg(exp_default) AS default_rate_pct
+FROM (SELECT scenario, 'fico_band' AS dimension, fico_band AS segment, upb, exp_loss, exp_default FROM per_loan
+      UNION ALL SELECT scenario, 'ltv_band', ltv_band, upb, exp_loss, exp_default FROM per_loan
+      UNION ALL SELECT scenario, 'loan_purpose', loan_purpose, upb, exp_loss, exp_default FROM per_loan)
+GROUP BY ALL""")
+view("by_state", "per_loan book", """
+SELECT scenario, 'state' AS dimension, state AS segment, count(*) AS loans, sum(upb) AS upb, sum(exp_loss) AS exp_loss,
+       100 * sum(exp_loss) / sum(upb) AS loss_rate_pct, 100 * avg(exp_default) AS default_rate_pct
+FROM per_loan WHERE state IN (SELECT state FROM book GROUP BY state ORDER BY sum(orig_upb) DESC, state LIMIT 10)
+GROUP BY ALL""")
+view("report", "by_segment by_state", "SELECT * FROM by_segment UNION ALL SELECT * FROM by_state")
+view("scenario_dim", "projection", """
+SELECT CAST(row_number() OVER (ORDER BY scenario) AS INT) AS scenario_id, scenario,
+       CASE scenario WHEN 'baseline' THEN 'Baseline' ELSE 'Severely Adverse' END AS scenario_label,
+       max(unemployment_rate) AS peak_unemployment_pct,
+       CASE WHEN min(hpi_index) < 100 THEN min(hpi_index) - 100 END AS hpi_trough_pct
+FROM projection GROUP BY scenario""")
+
+
 def rate(flag: str, digits: int = 2) -> str:
     return r(f"100e0 * sum({flag}) / count({flag})", digits)
 
@@ -218,4 +354,111 @@ SELECT worst_status, count(*) AS loans, {r('100e0 * count(*) / sum(count(*)) OVE
 FROM (SELECT CASE WHEN max(dq) >= 6 THEN '3: 180+ dpd (default)' WHEN max(dq) >= 3 THEN '2: 90-150 dpd'
                   WHEN max(dq) >= 1 THEN '1: 30-60 dpd' WHEN max(dq) = 0 THEN '0: current' ELSE '4: unknown' END AS worst_status
       FROM months GROUP BY loan_sequence_number) GROUP BY worst_status""")
+    out["macro_quarterly_means"] = query("quarterly", f"SELECT series, quarter_key, {r('value', 6)} AS value FROM quarterly")
+    out["macro_year_on_year"] = query("quarterly", f"""
+SELECT series, quarter_key, {r('(value / coalesce(lag(value, 4) OVER (PARTITION BY series ORDER BY quarter_key), 100) - 1) * 100', 6)} AS growth
+FROM quarterly""")
+    out["macro_annualised_growth"] = query("quarterly", f"""
+SELECT q.series, q.quarter_key, {r('(q.value / p.value - 1) * 400', 6)} AS growth
+FROM quarterly q LEFT JOIN quarterly p ON p.series = q.series AND p.quarter_key = q.quarter_key - 1""")
+    out["compounded_price_index"] = query("origination", f"""
+, growth AS (SELECT property_state AS state, 2000 + CAST(loan_sequence_number[2:3] AS INT) AS vintage,
+             avg(CAST(oltv % 16 - 6 AS DOUBLE)) AS g FROM origination GROUP BY ALL)
+SELECT a.state, a.vintage, {r('100 * product(pow(1 + b.g / 100, 0.25e0))', 6)} AS hpi
+FROM growth a JOIN growth b ON b.state = a.state AND b.vintage <= a.vintage GROUP BY ALL""")
+    out["macro_aligned"] = query("macro", f"""
+SELECT quarter_key, {r('unemployment_rate', 6)} AS unemployment_rate, {r('mortgage_rate', 6)} AS mortgage_rate,
+       {r('gdp_growth', 6)} AS gdp_growth, {r('hpi', 6)} AS hpi, {r('hpi_yoy', 6)} AS hpi_yoy FROM macro""")
+    out["macro_wide"] = query("quarterly", f"""
+SELECT quarter_key, {r("max(value) FILTER (series = 'unemployment_rate')", 6)} AS unemployment_rate,
+       {r("max(value) FILTER (series = 'hpi')", 6)} AS hpi FROM quarterly GROUP BY quarter_key""")
+    out["interpolated_balances"] = query("performance", f"""
+, points AS (SELECT loan_sequence_number AS loan, loan_age AS x, min(current_actual_upb) AS v FROM performance GROUP BY ALL),
+sides AS (SELECT loan, t, max(x) FILTER (x <= t) AS lx, arg_max(v, x) FILTER (x <= t) AS lv,
+                 min(x) FILTER (x >= t) AS hx, arg_min(v, x) FILTER (x >= t) AS hv
+          FROM points, range(1, 14) g(t) GROUP BY loan, t)
+SELECT loan[2:3] AS vintage, CAST(t AS INT) AS t, count(*) AS loans, {r(f'avg({BETWEEN})', 3)} AS mean_upb
+FROM sides GROUP BY 1, 2""")
+
+    out["calendar_split"] = query("performance", f"""
+SELECT monthly_reporting_period AS period, monthly_reporting_period // 100 AS cal_year,
+       CAST((monthly_reporting_period % 100 + 2) // 3 AS INT) AS cal_q,
+       CAST({QK.format('monthly_reporting_period')} AS INT) AS quarter_key, count(*) AS n FROM performance GROUP BY ALL""")
+    out["loan_quarters"] = query("lq", "SELECT * FROM lq")
+    out["quarters_until_event"] = query("kept_quarters", "SELECT * FROM kept_quarters")
+    out["hazard_panel"] = query("panel", f"""
+SELECT loan_sequence_number, cal_year, cal_q, quarter_key, {r('loan_age_q', 6)} AS loan_age_q, {r('loan_age_q_sq', 6)} AS loan_age_q_sq,
+       default_event, prepay_event, fico, oltv, odti, orig_rate, {r('unemployment_rate', 6)} AS unemployment_rate,
+       {r('hpi_yoy', 6)} AS hpi_yoy, {r('mortgage_rate', 6)} AS mortgage_rate,
+       {r('hpi_growth_since_orig', 6)} AS hpi_growth_since_orig, {r('current_ltv', 6)} AS current_ltv FROM panel""")
+    out["default_rate_by_quarter"] = query("panel", f"""
+SELECT cal_year, cal_q, count(*) AS loans, {r('avg(default_event)', 8)} AS default_rate, {r('avg(unemployment_rate)', 6)} AS unemployment_rate
+FROM panel GROUP BY 1, 2""")
+    out["panel_summary"] = query("panel", f"""
+SELECT count(*) AS panel_rows, count(DISTINCT loan_sequence_number) AS loans, sum(default_event)::BIGINT AS default_events,
+       sum(prepay_event)::BIGINT AS prepay_events, {r('avg(default_event)', 8)} AS default_hazard, {r('avg(prepay_event)', 8)} AS prepay_hazard
+FROM panel""")
+    out["published_hazard_scores"] = query("panel", f"""
+SELECT cal_year, cal_q, count(hd) AS scored, {r('avg(hd)', 8)} AS mean_hazard, {r('max(hd)', 8)} AS max_hazard
+FROM (SELECT *, {HAZARD} AS hd FROM panel) GROUP BY 1, 2""")
+
+    out["empirical_lgd"] = query("target", f"""
+SELECT {r('loss', 2)} AS total_loss, {r('ead', 2)} AS total_ead, n AS n_with_loss, {r('loss / ead', 8)} AS empirical_lgd,
+       CASE WHEN n >= 1000 AND loss / ead BETWEEN 0.12 AND 0.8 THEN 'empirical' ELSE 'assumed' END AS method,
+       {r('CASE WHEN n >= 1000 AND loss / ead BETWEEN 0.12 AND 0.8 THEN loss / ead ELSE 0.3e0 END', 8)} AS lgd
+FROM (SELECT sum(actual_loss) AS loss, sum(ead_upb) AS ead, count(*) AS n FROM target WHERE default_flag = 1 AND actual_loss > 0)""")
+    out["book_stats"] = query("book", f"""
+SELECT count(*) AS loans, sum(orig_upb) AS upb, {r('avg(fico)', 6)} AS fico, {r('avg(oltv)', 6)} AS oltv,
+       {r('avg(odti)', 6)} AS odti, {r('avg(orig_rate)', 6)} AS orig_rate FROM book""")
+    out["loan_paths_by_band"] = query("rolled", f"""
+SELECT scenario, quarter_index, fico_band, count(*) AS loans, {r('avg(surv)', 6)} AS mean_survival, {r('avg(d)', 8)} AS mean_default
+FROM rolled GROUP BY ALL""")
+    out["book_by_quarter"] = query("projection", f"SELECT * REPLACE ({r('defaulted_upb', 2)} AS defaulted_upb) FROM projection")
+    out["loan_expected_loss"] = query("per_loan", f"""
+SELECT scenario, loan_sequence_number, {r('exp_default', 6)} AS exp_default, {r('exp_loss', 2)} AS exp_loss FROM per_loan""")
+    out["expected_loss"] = query("projection target", f"""
+, severity AS (SELECT CASE WHEN n >= 1000 AND loss / ead BETWEEN 0.12 AND 0.8 THEN loss / ead ELSE 0.3e0 END AS lgd FROM
+  (SELECT sum(actual_loss) AS loss, sum(ead_upb) AS ead, count(*) AS n FROM target WHERE default_flag = 1 AND actual_loss > 0))
+SELECT scenario, quarter_index, {r('cumulative_defaulted_upb * lgd', 2)} AS expected_loss,
+       {r('100 * cumulative_defaulted_upb * lgd / portfolio_upb0', 6)} AS cumulative_loss_rate_pct FROM projection, severity""")
+    out["horizon_end"] = query("losses", f"""
+SELECT scenario, 13 AS horizon_quarters, (SELECT max(quarterly_default_rate_pct) FROM losses b WHERE b.scenario = a.scenario) AS peak_quarterly_default_pct,
+       cumulative_default_rate_pct, {r('cumulative_loss_rate_pct', 6)} AS cumulative_loss_rate_pct, {r('expected_loss', 2)} AS expected_loss, portfolio_upb0
+FROM losses a WHERE quarter_index = 13""")
+    out["stress_headline"] = query("losses", f"""
+SELECT CAST(a.portfolio_upb0 AS BIGINT) AS portfolio_upb, 13 AS horizon_quarters, {r('a.cumulative_default_rate_pct', 2)} AS base_default_pct,
+       {r('b.cumulative_default_rate_pct', 2)} AS severe_default_pct, {r('a.cumulative_loss_rate_pct', 2)} AS base_loss_pct,
+       {r('b.cumulative_loss_rate_pct', 2)} AS severe_loss_pct, CAST(floor(a.expected_loss) AS BIGINT) AS base_loss_usd,
+       CAST(floor(b.expected_loss) AS BIGINT) AS severe_loss_usd, {r('b.cumulative_loss_rate_pct / a.cumulative_loss_rate_pct', 1)} AS severe_to_base
+FROM losses a, losses b WHERE a.scenario = 'baseline' AND b.scenario = 'severely_adverse' AND a.quarter_index = 13 AND b.quarter_index = 13""")
+    out["shock_grid"] = query("shocked", f"""
+SELECT peak, decline, count(*) AS loans, {r('100 * avg(cd)', 6)} AS cumulative_default_pct, {r('30 * avg(cd)', 6)} AS cumulative_loss_pct,
+       {r('30 * sum(cd * upb) / sum(upb)', 6)} AS loss_rate_pct, {r('0.3e0 * sum(cd * upb)', 2)} AS exp_loss
+FROM (SELECT peak, decline, loan_sequence_number, sum(d) AS cd, any_value(orig_upb) AS upb FROM shocked GROUP BY ALL) GROUP BY 1, 2""")
+
+    seg = f"scenario, dimension, segment, loans, upb, {r('exp_loss', 2)} AS exp_loss, {r('loss_rate_pct', 6)} AS loss_rate_pct, {r('default_rate_pct', 6)} AS default_rate_pct"
+    out["loss_by_segment"] = query("by_segment", f"SELECT {seg} FROM by_segment")
+    out["loss_by_top_states"] = query("by_state", f"SELECT {seg} FROM by_state")
+    out["segment_report"] = query("report", f"SELECT {seg} FROM report")
+    out["severe_losses_by_fico_band"] = query("report", f"""
+SELECT segment, CAST(row_number() OVER (ORDER BY CASE segment WHEN '<620' THEN '0' ELSE segment END) AS BIGINT) AS position, {r('loss_rate_pct', 2)} AS loss_rate_pct
+FROM report WHERE scenario = 'severely_adverse' AND dimension = 'fico_band'""")
+    out["states_by_expected_loss"] = query("report", f"""
+SELECT segment, {r('loss_rate_pct', 6)} AS loss_rate_pct, {r('exp_loss', 2)} AS exp_loss FROM report
+WHERE scenario = 'severely_adverse' AND dimension = 'state' ORDER BY report.exp_loss DESC, segment LIMIT 10""")
+    out["dim_scenario"] = query("scenario_dim", f"SELECT * REPLACE ({r('hpi_trough_pct', 6)} AS hpi_trough_pct) FROM scenario_dim")
+    out["fact_projection"] = query("losses scenario_dim", f"""
+SELECT d.scenario_id, quarter, quarter_index, unemployment_rate, hpi_index, quarterly_default_rate_pct, cumulative_default_rate_pct,
+       {r('cumulative_loss_rate_pct', 6)} AS cumulative_loss_rate_pct, {r('expected_loss', 2)} AS expected_loss
+FROM losses l LEFT JOIN scenario_dim d ON d.scenario = l.scenario""")
+    out["fact_segment_loss"] = query("report scenario_dim", f"""
+SELECT d.scenario_id, {seg.replace('scenario, ', '', 1)} FROM report l LEFT JOIN scenario_dim d ON d.scenario = l.scenario""")
+    out["mart_measures"] = query("losses", f"""
+, m AS (SELECT scenario, avg(cumulative_loss_rate_pct) AS a, arg_max(expected_loss, quarter_index) AS e FROM losses GROUP BY 1)
+SELECT scenario, CASE scenario WHEN 'baseline' THEN 'Baseline' ELSE 'Severely Adverse' END AS scenario_label, {r('a', 6)} AS mean_loss_rate_pct,
+       {r('e', 2)} AS expected_loss, {r("a / (SELECT a FROM m WHERE scenario = 'baseline')", 6)} AS times_base FROM m""")
+    out["series_bundle"] = query("losses", f"""
+SELECT scenario, CAST(quarter_index - 1 AS INT) AS position, quarter, {r('cumulative_default_rate_pct', 3)} AS cum_default_pct,
+       {r('cumulative_loss_rate_pct', 3)} AS cum_loss_pct, {r('quarterly_default_rate_pct', 4)} AS quarterly_default_pct, unemployment_rate AS unemployment
+FROM losses""")
     return out

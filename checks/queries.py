@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import views
+from creditframe.functions.bands import FICO_MART
+from creditframe.functions.hazards import ASSUMED_LGD, PUBLISHED_DEFAULT
+from creditframe.functions.scalars import quarter_key, round_half_up, vintage_of_key
 from creditframe.operators import features as feat
-from creditframe.operators import portfolio, sampling, target
+from creditframe.operators import loss, macro, marts, panel, portfolio, projection, sampling, segments, target
+from creditframe.plans import scenarios
 from creditframe.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +21,13 @@ REGISTRY: dict[str, Query] = {}
 LOAN = target.LOAN
 
 
+def rounded(df: DataFrame, **digits: int) -> DataFrame:
+    """Round the named columns so that both engines print the same value."""
+    return df.select(
+        *[round_half_up(F.col(c), digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns]
+    )
+
+
 def register(fn: Query) -> Query:
     REGISTRY[fn.__name__] = fn
     return fn
@@ -160,3 +171,271 @@ def states_by_default_rate(spark, d):
 @register
 def worst_delinquency(spark, d):
     return portfolio.worst_status(views.performance(spark, d))
+
+
+# --- macro ------------------------------------------------------------------------------------
+
+
+def quarterly_view(spark, d):
+    return macro.to_quarterly(views.macro_observations(spark, d))
+
+
+def macro_view(spark, d):
+    return macro.macro_table(views.macro_observations(spark, d))
+
+
+@register
+def macro_quarterly_means(spark, d):
+    return rounded(quarterly_view(spark, d), value=6)
+
+
+@register
+def macro_year_on_year(spark, d):
+    grown = macro.yoy(quarterly_view(spark, d), "value", "growth", by=["series"], base=100.0)
+    return rounded(grown.drop("value"), growth=6)
+
+
+@register
+def macro_annualised_growth(spark, d):
+    grown = macro.annualised(quarterly_view(spark, d), "value", "growth", by=["series"])
+    return rounded(grown.drop("value"), growth=6)
+
+
+@register
+def compounded_price_index(spark, d):
+    """A price index per state from a yearly growth figure taken from its loans."""
+    growth = (
+        views.origination(spark, d)
+        .groupBy(F.col("property_state").alias("state"), vintage_of_key(F.col(LOAN)).alias("vintage"))
+        .agg(F.avg((F.col("oltv") % 16 - 6).cast("double")).alias("growth"))
+    )
+    index = macro.compound_index(growth, "growth", "hpi", by=["state"], order="vintage")
+    return rounded(index.drop("growth"), hpi=6)
+
+
+@register
+def macro_aligned(spark, d):
+    return rounded(macro_view(spark, d), unemployment_rate=6, mortgage_rate=6, gdp_growth=6, hpi=6, hpi_yoy=6)
+
+
+@register
+def macro_wide(spark, d):
+    wide = macro.widen(quarterly_view(spark, d), ["quarter_key"], ["unemployment_rate", "hpi"], variable="series")
+    return rounded(wide, unemployment_rate=6, hpi=6)
+
+
+@register
+def interpolated_balances(spark, d):
+    """Every loan's balance on a 13-step age grid, averaged by vintage."""
+    points = (
+        views.performance(spark, d)
+        .groupBy(LOAN, F.col("loan_age").alias("t"))
+        .agg(F.min("current_actual_upb").alias("value"))
+    )
+    grid = macro.interpolate(points, 13, [LOAN])
+    means = grid.groupBy(F.substring(LOAN, 2, 2).alias("vintage"), "t").agg(
+        F.count("*").alias("loans"), F.avg("value").alias("mean_upb")
+    )
+    return rounded(means, mean_upb=3)
+
+
+# --- panel ------------------------------------------------------------------------------------
+
+
+def panel_view(spark, d):
+    clean = feat.clean_origination(views.origination(spark, d))
+    return panel.hazard_panel(views.performance(spark, d), clean, macro_view(spark, d))
+
+
+@register
+def calendar_split(spark, d):
+    period = F.col("monthly_reporting_period")
+    counts = views.performance(spark, d).groupBy(period.alias("period")).agg(F.count("*").alias("n"))
+    key = quarter_key(F.col("period"))
+    return counts.select(
+        "period", F.floor(key / 4.0).cast("int").alias("cal_year"), (key % 4 + 1).alias("cal_q"),
+        key.alias("quarter_key"), "n",
+    )
+
+
+@register
+def loan_quarters(spark, d):
+    return panel.loan_quarters(views.performance(spark, d))
+
+
+@register
+def quarters_until_event(spark, d):
+    return panel.stop_at_event(panel.loan_quarters(views.performance(spark, d)))
+
+
+@register
+def hazard_panel(spark, d):
+    return rounded(
+        panel_view(spark, d), loan_age_q=6, loan_age_q_sq=6, unemployment_rate=6, hpi_yoy=6, mortgage_rate=6,
+        hpi_growth_since_orig=6, current_ltv=6,
+    )
+
+
+@register
+def default_rate_by_quarter(spark, d):
+    return rounded(panel.rate_by_quarter(panel_view(spark, d)), default_rate=8, unemployment_rate=6)
+
+
+@register
+def panel_summary(spark, d):
+    return rounded(panel.panel_summary(panel_view(spark, d)), default_hazard=8, prepay_hazard=8)
+
+
+@register
+def published_hazard_scores(spark, d):
+    scored = panel_view(spark, d).withColumn("hazard", PUBLISHED_DEFAULT.score())
+    means = scored.groupBy("cal_year", "cal_q").agg(
+        F.count("hazard").alias("scored"), F.avg("hazard").alias("mean_hazard"), F.max("hazard").alias("max_hazard")
+    )
+    return rounded(means, mean_hazard=8, max_hazard=8)
+
+
+# --- projection and loss ----------------------------------------------------------------------
+
+
+def book_view(spark, d):
+    return segments.with_bands(feat.as_of_book(feat.clean_origination(views.origination(spark, d))))
+
+
+def rolled_view(spark, d):
+    return projection.roll_forward(book_view(spark, d), scenarios.scenario_paths(spark))
+
+
+def projection_view(spark, d):
+    return projection.by_quarter(rolled_view(spark, d), scenarios.scenario_paths(spark))
+
+
+def losses_view(spark, d):
+    return loss.expected_loss(projection_view(spark, d), ASSUMED_LGD)
+
+
+def cells_view(spark, d):
+    return segments.cells(projection.by_loan(rolled_view(spark, d), ASSUMED_LGD))
+
+
+@register
+def empirical_lgd(spark, d):
+    return rounded(loss.lgd(target_view(spark, d)), total_loss=2, total_ead=2, empirical_lgd=8, lgd=8)
+
+
+@register
+def book_stats(spark, d):
+    return rounded(loss.book_stats(book_view(spark, d)), fico=6, oltv=6, odti=6, orig_rate=6)
+
+
+@register
+def loan_paths_by_band(spark, d):
+    paths = projection.loan_quarter_path(rolled_view(spark, d), [LOAN, "fico_band"])
+    means = paths.groupBy("scenario", "quarter_index", "fico_band").agg(
+        F.count("*").alias("loans"), F.avg("survival").alias("mean_survival"), F.avg("exp_default").alias("mean_default")
+    )
+    return rounded(means, mean_survival=6, mean_default=8)
+
+
+@register
+def book_by_quarter(spark, d):
+    return rounded(projection_view(spark, d), defaulted_upb=2)
+
+
+@register
+def loan_expected_loss(spark, d):
+    loans = projection.by_loan(rolled_view(spark, d), ASSUMED_LGD)
+    return rounded(loans.select("scenario", LOAN, "exp_default", "exp_loss"), exp_default=6, exp_loss=2)
+
+
+@register
+def expected_loss(spark, d):
+    severity = loss.lgd(target_view(spark, d)).select("lgd").scalar()
+    losses = loss.expected_loss(projection_view(spark, d), severity)
+    columns = losses.select("scenario", "quarter_index", "expected_loss", "cumulative_loss_rate_pct")
+    return rounded(columns, expected_loss=2, cumulative_loss_rate_pct=6)
+
+
+@register
+def horizon_end(spark, d):
+    return rounded(loss.horizon_end(losses_view(spark, d)), cumulative_loss_rate_pct=6, expected_loss=2)
+
+
+@register
+def stress_headline(spark, d):
+    return loss.headline(losses_view(spark, d))
+
+
+@register
+def shock_grid(spark, d):
+    paths = scenarios.shock_paths(spark, [4.5, 10.0, 15.0], [0.0, 30.0, 50.0])
+    grid = projection.shock_grid(book_view(spark, d), paths, ASSUMED_LGD)
+    return rounded(grid, cumulative_default_pct=6, cumulative_loss_pct=6, loss_rate_pct=6, exp_loss=2)
+
+
+# --- segments and marts -----------------------------------------------------------------------
+
+SEGMENT_DIGITS = {"exp_loss": 2, "loss_rate_pct": 6, "default_rate_pct": 6}
+
+
+@register
+def loss_by_segment(spark, d):
+    return rounded(segments.loss_by_segment(cells_view(spark, d)), **SEGMENT_DIGITS)
+
+
+@register
+def loss_by_top_states(spark, d):
+    return rounded(segments.loss_by_top_states(cells_view(spark, d)), **SEGMENT_DIGITS)
+
+
+@register
+def segment_report(spark, d):
+    return rounded(segments.segment_report(cells_view(spark, d)), **SEGMENT_DIGITS)
+
+
+@register
+def severe_losses_by_fico_band(spark, d):
+    report = segments.segment_report(cells_view(spark, d))
+    view = segments.segment_view(report, "severely_adverse", "fico_band", FICO_MART)
+    return rounded(view.select("segment", "position", "loss_rate_pct"), loss_rate_pct=2)
+
+
+@register
+def states_by_expected_loss(spark, d):
+    report = segments.segment_report(cells_view(spark, d))
+    top = segments.top_states_by_loss(report, "severely_adverse")
+    return rounded(top.select("segment", "loss_rate_pct", "exp_loss"), loss_rate_pct=6, exp_loss=2)
+
+
+@register
+def dim_scenario(spark, d):
+    return rounded(marts.dim_scenario(projection_view(spark, d)), hpi_trough_pct=6)
+
+
+@register
+def fact_projection(spark, d):
+    losses = losses_view(spark, d)
+    fact = marts.fact_projection(losses, marts.dim_scenario(losses))
+    return rounded(fact, cumulative_loss_rate_pct=6, expected_loss=2)
+
+
+@register
+def fact_segment_loss(spark, d):
+    report = segments.segment_report(cells_view(spark, d))
+    return rounded(marts.fact_segment(report, marts.dim_scenario(projection_view(spark, d))), **SEGMENT_DIGITS)
+
+
+@register
+def mart_measures(spark, d):
+    losses = losses_view(spark, d)
+    dim = marts.dim_scenario(losses)
+    table = marts.measures(marts.fact_projection(losses, dim), dim)
+    return rounded(table, mean_loss_rate_pct=6, expected_loss=2, times_base=6)
+
+
+@register
+def series_bundle(spark, d):
+    arrays = marts.series_bundle(losses_view(spark, d))
+    names = [name for name in arrays.columns if name != "scenario"]
+    rows = arrays.select("scenario", F.posexplode(F.arrays_zip(*names)).alias("position", "p"))
+    return rows.select("scenario", "position", *[F.col(f"p.{name}").alias(name) for name in names])

@@ -2,156 +2,135 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _mod(column: Column, n: int) -> Column:
-    return column % F.lit(n)
-
-
-def _vintage() -> Column:
-    year = F.year("o_orderdate")
-    return F.when(year <= 1998, year + 10).otherwise(year + 18)
-
-
-def _loan_key() -> Column:
-    return F.concat(
-        F.lit("F"),
-        F.lpad(_mod(_vintage(), 100).cast("string"), 2, "0"),
-        F.lit("Q"),
-        F.quarter("o_orderdate").cast("string"),
-        F.lpad(F.col("o_orderkey").cast("string"), 7, "0"),
+@cache
+def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the loan attributes that depend on the order alone."""
+    return (
+        table(spark, sf_dir, "orders")
+        .selectExpr(
+            "o_orderkey AS k", "o_custkey AS c", "o_totalprice", "left(o_orderpriority, 1) AS priority",
+            "CASE WHEN year(o_orderdate) <= 1998 THEN year(o_orderdate) + 10 ELSE year(o_orderdate) + 18 END AS vint",
+            "quarter(o_orderdate) AS q", "580 + (o_custkey * 37 + o_orderkey * 11) % 241 AS score0",
+        )
+        .selectExpr(
+            "*",
+            "concat('F', lpad(string(vint % 100), 2, '0'), 'Q', string(q), lpad(string(k), 7, '0'))"
+            " AS loan_sequence_number",
+            "CASE WHEN k % 97 = 0 THEN 999 ELSE 40 + (k * 17 + c) % 58 END AS ltv0",
+            # The loan starts in its quarter and pays first two months later, maybe in the next year.
+            "vint * 12 + (q - 1) * 3 + k % 3 + 2 AS fpm",
+        )
     )
 
 
-def _score() -> Column:
-    return F.lit(580) + _mod(F.col("o_custkey") * 37 + F.col("o_orderkey") * 11, 241)
-
-
+@cache
 def origination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One loan per order."""
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    state = table(spark, sf_dir, "customer").join(
-        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
-    )
-    rows = table(spark, sf_dir, "orders").join(state, F.col("o_custkey") == F.col("c_custkey"))
-    oltv = F.when(_mod(k, 97) == 0, 999).otherwise(40 + _mod(k * 17 + c, 58))
-    # The loan starts in its quarter and pays first two months later, which may be the next year.
-    first_month = _vintage() * 12 + (F.quarter("o_orderdate") - 1) * 3 + _mod(k, 3) + 2
-    month = _mod(first_month, 12)
-    first_payment = ((first_month - month) / 12).cast("int") * 100 + month + 1
-    priority = F.substring("o_orderpriority", 1, 1)
-    segment = F.col("c_mktsegment")
-    return rows.select(
-        _loan_key().alias("loan_sequence_number"),
-        F.when(_mod(k, 53) == 0, 9999).otherwise(_score()).cast("int").alias("credit_score"),
-        first_payment.cast("int").cast("string").alias("first_payment_date"),
-        F.when(_mod(k, 5) == 0, "Y").when(_mod(k, 5) < 4, "N").alias("first_time_homebuyer_flag"),
-        F.when(_mod(k, 61) == 0, 999).when(oltv > 80, 25).otherwise(0).cast("int").alias("mi_pct"),
-        F.when(_mod(k, 71) == 0, 99).otherwise(1 + _mod(k, 4)).cast("int").alias("num_units"),
-        F.when(segment.isin("AUTOMOBILE", "BUILDING", "MACHINERY"), "P").when(segment == "FURNITURE", "I")
-        .otherwise("S").alias("occupancy_status"),
-        (oltv + _mod(k, 9)).cast("int").alias("ocltv"),
-        F.when(_mod(k, 41) == 0, 999).otherwise(10 + _mod(k * 29, 56)).cast("int").alias("odti"),
-        (F.floor(F.col("o_totalprice") / 1000.0) * 1000).cast("double").alias("orig_upb"),
-        oltv.cast("int").alias("oltv"),
-        (F.lit(3.5) + _mod(k, 33) / F.lit(16.0)).alias("orig_interest_rate"),
-        F.when(_mod(k, 3) == 0, "R").when(_mod(k, 3) == 1, "B").when(_mod(k, 7) > 0, "C").alias("channel"),
-        F.col("n_name").alias("property_state"),
-        F.element_at(F.array(*[F.lit(x) for x in ("SF", "PU", "CO", "MH")]), (_mod(k, 4) + 1).cast("int")).alias(
-            "property_type"
-        ),
-        F.when(priority.isin("1", "2"), "P").when(priority.isin("3", "4"), "C").otherwise("N").alias("loan_purpose"),
-        F.when(_mod(k, 10) < 8, 360).when(_mod(k, 10) == 8, 180).otherwise(240).cast("int").alias("orig_loan_term"),
-        F.when(_mod(k, 59) == 0, 99).otherwise(1 + _mod(k, 3)).cast("int").alias("num_borrowers"),
-        F.floor(first_payment / 100.0).cast("int").alias("vintage_year"),
+    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    home = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+    rows = loans(spark, sf_dir)
+    return rows.join(home, rows.c == home.c_custkey).selectExpr(
+        "loan_sequence_number",
+        "int(CASE WHEN k % 53 = 0 THEN 9999 ELSE score0 END) AS credit_score",
+        "string((fpm div 12) * 100 + fpm % 12 + 1) AS first_payment_date",
+        "CASE k % 5 WHEN 0 THEN 'Y' WHEN 4 THEN NULL ELSE 'N' END AS first_time_homebuyer_flag",
+        "int(CASE WHEN k % 61 = 0 THEN 999 WHEN ltv0 > 80 THEN 25 ELSE 0 END) AS mi_pct",
+        "int(CASE WHEN k % 71 = 0 THEN 99 ELSE 1 + k % 4 END) AS num_units",
+        "CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'MACHINERY') THEN 'P'"
+        " WHEN c_mktsegment = 'FURNITURE' THEN 'I' ELSE 'S' END AS occupancy_status",
+        "int(ltv0 + k % 9) AS ocltv",
+        "int(CASE WHEN k % 41 = 0 THEN 999 ELSE 10 + (k * 29) % 56 END) AS odti",
+        "double(floor(o_totalprice / 1000) * 1000) AS orig_upb",
+        "int(ltv0) AS oltv",
+        "3.5D + (k % 33) / 16D AS orig_interest_rate",
+        "CASE WHEN k % 3 = 0 THEN 'R' WHEN k % 3 = 1 THEN 'B' WHEN k % 7 > 0 THEN 'C' END AS channel",
+        "n_name AS property_state",
+        "CASE k % 4 WHEN 0 THEN 'SF' WHEN 1 THEN 'PU' WHEN 2 THEN 'CO' ELSE 'MH' END AS property_type",
+        "CASE WHEN priority IN ('1', '2') THEN 'P' WHEN priority IN ('3', '4') THEN 'C' ELSE 'N' END AS loan_purpose",
+        "CASE WHEN k % 10 < 8 THEN 360 WHEN k % 10 = 8 THEN 180 ELSE 240 END AS orig_loan_term",
+        "int(CASE WHEN k % 59 = 0 THEN 99 ELSE 1 + k % 3 END) AS num_borrowers",
+        "int(fpm div 12) AS vintage_year",
     )
 
 
+@cache
 def performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One loan-month per line item."""
-    rows = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-    )
-    age = (F.col("l_linenumber") * 3 - _mod(F.col("l_partkey"), 3)).cast("int")
-    month = _vintage() * 12 + (F.quarter("o_orderdate") - 1) * 3 + age
-    period = (((month - _mod(month, 12)) / 12).cast("int") * 100 + _mod(month, 12) + 1).cast("int")
-    late = F.when(_score() < 660, 47).when(_score() < 720, 49).otherwise(50)
-    quantity = F.col("l_quantity")
-    status = (
-        F.when(quantity >= late, "6").when(quantity >= 44, "3").when(quantity >= 38, "1").when(quantity == 37, "XX")
-        .when(quantity == 36, "RA").otherwise("0")
-    )
-    code = F.when(
-        (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O") & (F.col("l_discount") >= 0.1), "03"
-    ).when((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F") & (F.col("l_tax") >= 0.07), "01")
-    price = F.col("l_extendedprice")
-    return rows.select(
-        _loan_key().alias("loan_sequence_number"),
-        period.alias("monthly_reporting_period"),
-        price.alias("current_actual_upb"),
-        status.alias("current_delinquency_status"),
-        age.alias("loan_age"),
-        code.alias("zero_balance_code"),
-        F.when(code.isNotNull(), period).alias("zero_balance_effective_date"),
-        F.when(code == "03", price * (F.lit(0.2) + F.col("l_discount"))).alias("actual_loss_calculation"),
-        F.when(code == "03", price * F.lit(0.75)).alias("net_sales_proceeds"),
-        F.when(code.isNotNull(), price).alias("zero_balance_removal_upb"),
+    keys = loans(spark, sf_dir).select("k", "loan_sequence_number", "vint", "q", "score0")
+    lines = table(spark, sf_dir, "lineitem")
+    return (
+        lines.join(keys, lines.l_orderkey == keys.k)
+        .selectExpr(
+            "loan_sequence_number", "l_extendedprice AS price", "l_discount",
+            "int(l_linenumber * 3 - l_partkey % 3) AS loan_age",
+            "vint * 12 + (q - 1) * 3 + l_linenumber * 3 - l_partkey % 3 AS m",
+            "CASE WHEN l_quantity >= CASE WHEN score0 < 660 THEN 47 WHEN score0 < 720 THEN 49 ELSE 50 END THEN '6'"
+            " WHEN l_quantity >= 44 THEN '3' WHEN l_quantity >= 38 THEN '1' WHEN l_quantity = 37 THEN 'XX'"
+            " WHEN l_quantity = 36 THEN 'RA' ELSE '0' END AS current_delinquency_status",
+            "CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' AND l_discount >= 0.1D THEN '03'"
+            " WHEN l_returnflag = 'A' AND l_linestatus = 'F' AND l_tax >= 0.07D THEN '01' END AS zero_balance_code",
+        )
+        .selectExpr(
+            "loan_sequence_number",
+            "int((m div 12) * 100 + m % 12 + 1) AS monthly_reporting_period",
+            "price AS current_actual_upb",
+            "current_delinquency_status",
+            "loan_age",
+            "zero_balance_code",
+            "CASE WHEN zero_balance_code IS NOT NULL THEN int((m div 12) * 100 + m % 12 + 1) END"
+            " AS zero_balance_effective_date",
+            "CASE WHEN zero_balance_code = '03' THEN price * (0.2D + l_discount) END AS actual_loss_calculation",
+            "CASE WHEN zero_balance_code = '03' THEN price * 0.75D END AS net_sales_proceeds",
+            "CASE WHEN zero_balance_code IS NOT NULL THEN price END AS zero_balance_removal_upb",
+        )
     )
 
 
 def as_text(df: DataFrame) -> DataFrame:
     """The same table as the all-text raw load it would come from."""
-    return df.select(*[F.col(name).cast("string").alias(name) for name in df.columns])
+    return df.selectExpr(*[f"string({name}) AS {name}" for name in df.columns])
 
 
+@cache
 def macro_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly readings of four series, several per month, taken from the orders.
 
     All values are multiples of 1/16 so that sums are exact in any order. The last two quarters have
     no reading and the mortgage rate starts one quarter late.
     """
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    m = _mod(k, 204)
-    readings = F.array(
-        F.struct(
-            F.lit("unemployment_rate").alias("series"),
-            (F.lit(4.0) + F.abs(_mod(m, 96) - 48) / F.lit(16.0) + _mod(c, 8) / F.lit(8.0)).alias("value"),
-        ),
-        F.struct(
-            F.lit("mortgage_rate").alias("series"),
-            F.when(m >= 3, F.lit(3.0) + F.abs(_mod(m, 120) - 60) / F.lit(16.0) + _mod(k, 4) / F.lit(4.0)).alias("value"),
-        ),
-        F.struct(
-            F.lit("real_gdp").alias("series"),
-            (F.lit(15000.0) + m * F.lit(16.0) + _mod(c, 16) * F.lit(8.0)).alias("value"),
-        ),
-        F.struct(
-            F.lit("hpi").alias("series"),
-            (F.lit(100.0) + F.abs(_mod(m, 144) - 72) / F.lit(2.0) + _mod(c, 8) / F.lit(8.0)).alias("value"),
-        ),
-    )
-    yyyymm = ((F.lit(2005) + F.floor(m / F.lit(12.0))) * 100 + _mod(m, 12) + 1).cast("int")
     return (
         table(spark, sf_dir, "orders")
-        .select(yyyymm.alias("yyyymm"), m.alias("m"), F.inline(readings))
-        .select("series", "yyyymm", F.when(F.col("m") < 198, F.col("value")).alias("value"))
+        .selectExpr("o_orderkey AS k", "o_custkey AS c", "o_orderkey % 204 AS m")
+        .selectExpr(
+            "int((2005 + m div 12) * 100 + m % 12 + 1) AS yyyymm",
+            "m",
+            """stack(4,
+               'unemployment_rate', 4D + abs(m % 96 - 48) / 16D + (c % 8) / 8D,
+               'mortgage_rate', CASE WHEN m >= 3 THEN 3D + abs(m % 120 - 60) / 16D + (k % 4) / 4D END,
+               'real_gdp', 15000D + m * 16D + (c % 16) * 8D,
+               'hpi', 100D + abs(m % 144 - 72) / 2D + (c % 8) / 8D) AS (series, value)""",
+        )
+        .selectExpr("series", "yyyymm", "CASE WHEN m < 198 THEN value END AS value")
     )
 
 
+@cache
 def applicants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One applicant per customer; codes 5 and 4 are outside the point tables."""
-    key = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
-        key.alias("applicant_id"),
-        (F.lit(10000.0) + (F.col("c_acctbal") + F.lit(1000.0)) * F.lit(40.0)).alias("limit"),
-        (F.lit(18) + _mod(key, 58)).cast("int").alias("age"),
-        (_mod(key, 11) - 2).cast("int").alias("pay_status"),
-        (F.lit(1) + _mod(key, 5)).cast("int").alias("education"),
-        (F.lit(1) + _mod(key, 4)).cast("int").alias("marital"),
+    """One applicant per customer; education 5 and marital 4 are outside the point tables."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS applicant_id",
+        "10000D + (c_acctbal + 1000D) * 40D AS limit",
+        "int(18 + c_custkey % 58) AS age",
+        "int(c_custkey % 11 - 2) AS pay_status",
+        "int(1 + c_custkey % 5) AS education",
+        "int(1 + c_custkey % 4) AS marital",
     )
