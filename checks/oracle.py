@@ -275,6 +275,45 @@ SELECT CAST(row_number() OVER (ORDER BY scenario) AS INT) AS scenario_id, scenar
 FROM projection GROUP BY scenario""")
 
 
+view("applicants", "", """
+SELECT c_custkey AS applicant_id, 10000e0 + (c_acctbal + 1000e0) * 40e0 AS "limit", CAST(18 + c_custkey % 58 AS INT) AS age,
+       CAST(c_custkey % 11 - 2 AS INT) AS pay_status, CAST(1 + c_custkey % 5 AS INT) AS education, CAST(1 + c_custkey % 4 AS INT) AS marital
+FROM customer""")
+view("parts", "applicants", """
+SELECT *, 0.62e0 * pay_status AS c1, -3e-6 * ("limit" - 150000) AS c2, -0.01e0 * (age - 35) AS c3,
+       CAST(coalesce(map([1, 2, 3, 4], [-0.15, 0, 0.12, 0.05])[education], 0) AS DOUBLE) AS c4,
+       CAST(coalesce(map([1, 2, 3], [0.05, 0, 0.03])[marital], 0) AS DOUBLE) AS c5 FROM applicants""")
+view("scored_applicants", "parts", """
+SELECT *, CASE WHEN pd < 0.087e0 THEN 'APPROVE' ELSE 'REVIEW / DECLINE' END AS decision,
+       CASE WHEN pd < 0.12e0 THEN 'green' WHEN pd < 0.3e0 THEN 'amber' ELSE 'red' END AS colour, pd * 0.45e0 * "limit" AS expected_loss
+FROM (SELECT *, 1 / (1 + exp(-(-1.55e0 + c1 + c2 + c3 + c4 + c5))) AS pd FROM parts)""")
+
+view("scored", "features", f"""
+SELECT loan_sequence_number, split, default_flag AS y, {r(HAZARD, 6)} AS s
+FROM (SELECT *, 12e0 AS loan_age_q, 144e0 AS loan_age_q_sq, CAST(oltv AS DOUBLE) AS current_ltv, 6.5e0 AS unemployment_rate FROM features)
+WHERE default_flag IS NOT NULL""")
+view("known", "scored", "SELECT * FROM scored WHERE s IS NOT NULL")
+view("curve", "known", """
+SELECT split, s, pos, cnt - pos AS neg, cnt, sum(pos) OVER w AS tp, sum(cnt - pos) OVER w AS fp,
+       sum(pos) OVER (PARTITION BY split) AS p, sum(cnt - pos) OVER (PARTITION BY split) AS n
+FROM (SELECT split, s, sum(y) AS pos, count(*) AS cnt FROM known GROUP BY split, s) WINDOW w AS (PARTITION BY split ORDER BY s DESC)""")
+
+
+def ranking(source: str, by: str) -> str:
+    """Metrics from ranks (AUC), cumulative shares (KS, PR-AUC) and rows (Brier)."""
+    return f"""
+, ranked AS (SELECT *, rank() OVER (PARTITION BY {by} ORDER BY s) + (count(*) OVER (PARTITION BY {by}, s) - 1) / 2e0 AS rk FROM {source}),
+auc AS (SELECT {by}, count(*) AS n, avg(y) AS base_rate, avg((s - y) * (s - y)) AS brier, sum(y) AS p,
+               (sum(rk) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2e0) / (sum(y)::DOUBLE * (count(*) - sum(y))) AS roc_auc FROM ranked GROUP BY {by}),
+folded AS (SELECT {by}, s, sum(y) AS pos, count(*) AS cnt FROM {source} GROUP BY {by}, s),
+steps AS (SELECT {by}, pos, sum(pos) OVER w AS tp, sum(cnt) OVER w AS seen FROM folded WINDOW w AS (PARTITION BY {by} ORDER BY s DESC)),
+curves AS (SELECT {by}, max(tp / a.p::DOUBLE - (seen - tp) / (a.n - a.p)::DOUBLE) AS ks, sum(pos / a.p::DOUBLE * tp / seen) AS pr_auc
+           FROM steps JOIN auc a USING ({by}) GROUP BY {by})"""
+
+
+RANK_COLUMNS = f"n, {r('base_rate', 8)} AS base_rate, {r('roc_auc', 8)} AS roc_auc, {r('2 * roc_auc - 1', 8)} AS gini, {r('ks', 8)} AS ks, {r('pr_auc', 8)} AS pr_auc, {r('brier', 8)} AS brier"
+
+
 def rate(flag: str, digits: int = 2) -> str:
     return r(f"100e0 * sum({flag}) / count({flag})", digits)
 
@@ -461,4 +500,30 @@ SELECT scenario, CASE scenario WHEN 'baseline' THEN 'Baseline' ELSE 'Severely Ad
 SELECT scenario, CAST(quarter_index - 1 AS INT) AS position, quarter, {r('cumulative_default_rate_pct', 3)} AS cum_default_pct,
        {r('cumulative_loss_rate_pct', 3)} AS cum_loss_pct, {r('quarterly_default_rate_pct', 4)} AS quarterly_default_pct, unemployment_rate AS unemployment
 FROM losses""")
+    out["applicant_scores"] = query("scored_applicants", f"""
+SELECT applicant_id, {r('pd', 8)} AS pd, decision, colour, {r('expected_loss', 2)} AS expected_loss FROM scored_applicants""")
+    out["applicant_reasons"] = query("parts", """
+SELECT applicant_id, CAST(rn AS INT) - 1 AS position, reason, CASE WHEN v > 0.001e0 THEN 'raises' WHEN v < -0.001e0 THEN 'lowers' ELSE 'neutral' END AS direction
+FROM (SELECT applicant_id, reason, v, row_number() OVER (PARTITION BY applicant_id ORDER BY abs(v) DESC, i) AS rn
+      FROM parts, LATERAL (VALUES (1, 'Recent repayment status', c1), (2, 'Credit limit', c2), (3, 'Age', c3), (4, 'Education', c4), (5, 'Marital status', c5)) t(i, reason, v))
+WHERE rn <= 3""")
+    out["applicant_portfolio_loss"] = query("scored_applicants", f"""
+SELECT decision, count(*) AS applicants, {r('sum("limit")', 2)} AS "limit", {r('sum(expected_loss)', 2)} AS expected_loss,
+       {r('100 * sum(expected_loss) / sum("limit")', 6)} AS loss_rate_pct, {r('avg(pd)', 8)} AS mean_pd FROM scored_applicants GROUP BY decision""")
+
+    out["score_ranking_metrics"] = query("known", ranking("(SELECT 1 AS one, s, y FROM known)", "one") + f" SELECT {RANK_COLUMNS} FROM auc JOIN curves USING (one)")
+    out["train_test_ranking_metrics"] = query("known", ranking("known", "split") + f" SELECT split, {RANK_COLUMNS} FROM auc JOIN curves USING (split)")
+    out["score_reliability"] = query("known", f"""
+, edges AS (SELECT quantile_cont(s, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e FROM known)
+SELECT CAST(len(list_filter(e, lambda x: x < s)) AS INT) AS bin, count(*) AS n, {r('avg(s)', 8)} AS mean_predicted, {r('avg(y)', 8)} AS observed_rate
+FROM known, edges GROUP BY 1""")
+    out["score_deciles"] = query("known", f"""
+SELECT CAST(floor(rk * 10 / (n + 1)) AS INT) AS decile, count(*) AS loans, sum(y)::BIGINT AS defaults, {r('100e0 * avg(y)', 6)} AS default_rate_pct
+FROM (SELECT y, count(*) OVER () AS n, rank() OVER (ORDER BY s DESC) + (count(*) OVER (PARTITION BY s) - 1) / 2e0 AS rk FROM known) GROUP BY 1""")
+    means = ", ".join(f"avg(abs(({b}e0) * ({f} - {m}e0) / {sd}e0)) AS a_{f}" for f, (b, m, sd) in COEF.items())
+    corrs = ", ".join(f"corr({f}, ({b}e0) * ({f} - {m}e0) / {sd}e0) AS r_{f}" for f, (b, m, sd) in COEF.items())
+    rows = " UNION ALL ".join(f"SELECT '{f}' AS feature, a_{f} AS a, r_{f} AS c FROM sums" for f in COEF)
+    out["hazard_contributions"] = query("panel", f"""
+, sums AS (SELECT {means}, {corrs} FROM panel), long AS ({rows})
+SELECT feature, {r('a', 6)} AS mean_abs, {r('c', 6)} AS correlation, CAST(row_number() OVER (ORDER BY a DESC) AS INT) AS importance_rank FROM long""")
     return out

@@ -12,7 +12,9 @@ from creditframe.functions.bands import FICO_MART
 from creditframe.functions.hazards import ASSUMED_LGD, PUBLISHED_DEFAULT
 from creditframe.functions.scalars import quarter_key, round_half_up, vintage_of_key
 from creditframe.operators import features as feat
-from creditframe.operators import loss, macro, marts, panel, portfolio, projection, sampling, segments, target
+from creditframe.operators import (
+    loss, macro, marts, panel, pd_models, portfolio, projection, sampling, scorecard, segments, target, validation,
+)
 from creditframe.plans import scenarios
 from creditframe.sources import files
 
@@ -439,3 +441,132 @@ def series_bundle(spark, d):
     names = [name for name in arrays.columns if name != "scenario"]
     rows = arrays.select("scenario", F.posexplode(F.arrays_zip(*names)).alias("position", "p"))
     return rows.select("scenario", "position", *[F.col(f"p.{name}").alias(name) for name in names])
+
+
+# --- scorecard --------------------------------------------------------------------------------
+
+THRESHOLD = 0.087
+
+
+@register
+def applicant_scores(spark, d):
+    scored = scorecard.score_applicants(views.applicants(spark, d), THRESHOLD)
+    columns = scored.select("applicant_id", "pd", "decision", "colour", "expected_loss")
+    return rounded(columns, pd=8, expected_loss=2)
+
+
+@register
+def applicant_reasons(spark, d):
+    coded = scorecard.reason_codes(views.applicants(spark, d))
+    rows = coded.select("applicant_id", F.posexplode("reasons").alias("position", "r"))
+    return rows.select("applicant_id", "position", "r.reason", "r.direction")
+
+
+@register
+def applicant_portfolio_loss(spark, d):
+    totals = scorecard.portfolio_loss(scorecard.score_applicants(views.applicants(spark, d), THRESHOLD))
+    return rounded(totals, limit=2, expected_loss=2, loss_rate_pct=6, mean_pd=8)
+
+
+# --- validation -------------------------------------------------------------------------------
+
+METRIC_DIGITS = dict.fromkeys(["base_rate", "roc_auc", "gini", "ks", "pr_auc", "brier"], 8)
+
+
+def scored_view(spark, d):
+    """Every loan with the published hazard at a fixed age and unemployment as its score."""
+    at = {"loan_age_q": F.lit(12.0), "loan_age_q_sq": F.lit(144.0), "current_ltv": F.col("oltv"), "unemployment_rate": F.lit(6.5)}
+    score = PUBLISHED_DEFAULT.score(lambda name: at.get(name, F.col(name)))
+    return features_view(spark, d).select(LOAN, "split", "default_flag", round_half_up(score, 6).alias("score"))
+
+
+@register
+def score_ranking_metrics(spark, d):
+    return rounded(validation.rank_metrics(scored_view(spark, d), "default_flag", "score"), **METRIC_DIGITS)
+
+
+@register
+def train_test_ranking_metrics(spark, d):
+    return rounded(validation.rank_metrics(scored_view(spark, d), "default_flag", "score", by="split"), **METRIC_DIGITS)
+
+
+@register
+def score_reliability(spark, d):
+    table = validation.reliability(scored_view(spark, d), "default_flag", "score")
+    return rounded(table, mean_predicted=8, observed_rate=8)
+
+
+@register
+def score_deciles(spark, d):
+    return rounded(validation.deciles(scored_view(spark, d), "default_flag", "score"), default_rate_pct=6)
+
+
+@register
+def hazard_contributions(spark, d):
+    table = pd_models.contributions(panel_view(spark, d), PUBLISHED_DEFAULT)
+    return rounded(table, mean_abs=6, correlation=6)
+
+
+# --- fitted models (rows-only: no SQL equivalent) ---------------------------------------------
+
+
+def fitted_hazard(spark, d, target_name, names):
+    return pd_models.hazard_parameters(pd_models.fit_hazard(panel_view(spark, d), target_name, names), names)
+
+
+@register
+def default_hazard_coefficients(spark, d):
+    hazard = fitted_hazard(spark, d, "default_event", pd_models.DEFAULT_FEATURES)
+    return pd_models.coefficient_table(spark, hazard)
+
+
+@register
+def prepay_hazard_coefficients(spark, d):
+    hazard = fitted_hazard(spark, d, "prepay_event", pd_models.PREPAY_FEATURES)
+    return pd_models.coefficient_table(spark, hazard)
+
+
+@register
+def fitted_stress_projection(spark, d):
+    """Panel, both fitted hazards, roll-forward and loss in one go."""
+    default = fitted_hazard(spark, d, "default_event", pd_models.DEFAULT_FEATURES)
+    prepay = fitted_hazard(spark, d, "prepay_event", pd_models.PREPAY_FEATURES)
+    paths = scenarios.scenario_paths(spark)
+    rolled = projection.roll_forward(book_view(spark, d), paths, default, prepay)
+    return loss.expected_loss(projection.by_quarter(rolled, paths), ASSUMED_LGD)
+
+
+def split_view(spark, d, name):
+    return features_view(spark, d).where(F.col("split") == name)
+
+
+@register
+def logit_test_metrics(spark, d):
+    scored = pd_models.fit_logit(split_view(spark, d, "train")).score(split_view(spark, d, "test"))
+    return validation.rank_metrics(scored, "default_flag", "pd")
+
+
+# 400 trees are the function's default; the check runs fewer.
+CHECK_TREES = 20
+
+
+@register
+def boosted_train_test_metrics(spark, d):
+    model = pd_models.fit_boosted(split_view(spark, d, "train"), trees=CHECK_TREES)
+    return validation.rank_metrics(model.score(features_view(spark, d)), "default_flag", "pd", by="split")
+
+
+@register
+def calibrated_test_reliability(spark, d):
+    model = pd_models.calibrate(split_view(spark, d, "train"), trees=CHECK_TREES)
+    return validation.reliability(model.score(split_view(spark, d, "test")), "default_flag", "pd")
+
+
+@register
+def principal_components(spark, d):
+    return pd_models.pca(features_view(spark, d))[0].select(LOAN, "pc1", "pc2", "pc3")
+
+
+@register
+def risk_segment_profiles(spark, d):
+    return pd_models.profiles(pd_models.segments(features_view(spark, d)))

@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 100_000
+MAX_SMALL_ROWS = 10_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint ``df`` for broadcast when a count that stops at the bound finds it small.
+def pinned_if_small(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
+    """Evaluate a small frame once and hold its rows in the plan; return a larger one unchanged.
 
-    Above the bound the frame is returned as it is and Spark joins it with a shuffle.
+    Reading stops at the bound, so at most ``max_rows`` + 1 rows ever reach the driver. Use it for
+    parameter-like frames (macro history, scenario paths) that several joins read.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    rows = df.limit(max_rows + 1).toArrow()
+    return df.sparkSession.createDataFrame(rows, df.schema) if rows.num_rows <= max_rows else df
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
+    """A pinned frame with a broadcast hint, or the frame as it is, which Spark joins with a shuffle."""
+    pinned = pinned_if_small(df, max_rows)
+    return df if pinned is df else F.broadcast(pinned)

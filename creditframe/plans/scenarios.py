@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditframe.functions.hazards import BASE_UNEMPLOYMENT, HORIZON_Q, HPI_AS_OF
 from creditframe.functions.scalars import quarter_key_of_label, quarter_label, round_half_up
 from creditframe.operators import macro
+from creditframe.operators.sizing import pinned_if_small
 
 # Anchors {quarter_index: value} per scenario and variable, linear in between.
 ANCHORS = {
@@ -68,9 +71,11 @@ def scenario_long(spark: SparkSession, horizon: int = HORIZON_Q) -> DataFrame:
     )
 
 
+@cache
 def scenario_paths(spark: SparkSession, horizon: int = HORIZON_Q) -> DataFrame:
-    """One row per scenario and quarter with all variables side by side."""
-    return macro.widen(scenario_long(spark, horizon), ["scenario", "quarter_index", "quarter"], VARIABLES)
+    """One row per scenario and quarter with all variables side by side, evaluated once per session."""
+    wide = macro.widen(scenario_long(spark, horizon), ["scenario", "quarter_index", "quarter"], VARIABLES)
+    return pinned_if_small(wide)
 
 
 def shock_paths(
