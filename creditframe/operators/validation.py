@@ -30,11 +30,11 @@ def rank_table(df: DataFrame, y: str, score: str, by: str | None = None) -> Data
         .groupBy(*keys, F.col(score).cast("double").alias("score"))
         .agg(F.sum(F.col(y).cast("bigint")).alias("pos"), F.sum((F.lit(1) - F.col(y)).cast("bigint")).alias("neg"))
     )
-    quantiles = [k / BUCKETS for k in range(1, BUCKETS)]
+    quantiles = F.expr("array(" + ", ".join(f"{k / BUCKETS}D" for k in range(1, BUCKETS)) + ")")
     # The sums keep the columns of this aggregate's input equal to those of the main branch, which
     # lets Spark reuse the fold for both.
     edges = folded.agg(
-        F.percentile_approx("score", F.array(*[F.lit(q) for q in quantiles])).alias("fine"),
+        F.percentile_approx("score", quantiles).alias("fine"),
         F.sum("pos").alias("pos"),
         F.sum("neg").alias("neg"),
     ).select(
@@ -45,12 +45,14 @@ def rank_table(df: DataFrame, y: str, score: str, by: str | None = None) -> Data
             "neg",
         ).alias("edges")
     )
-    # Two short searches of 31 edges instead of one over 1023.
+    # Two short searches of 31 edges instead of one over 1023. The bucket is never NULL, and saying so
+    # keeps the optimiser from testing it on the rows below the fold.
+    known = lambda size: F.coalesce(size, F.lit(0))
     cut = folded.withColumn("edges", edges.scalar())
-    cut = cut.withColumn("c", F.size(F.filter("edges.coarse", lambda e: e < F.col("score"))))
-    near = F.slice("edges.fine", F.col("c") * _SIDE + 1, F.lit(_SIDE - 1))
-    cut = cut.withColumn("bucket", F.col("c") * _SIDE + F.size(F.filter(near, lambda e: e < F.col("score"))))
-    cut = cut.select(*keys, "score", "pos", "neg", "bucket")
+    cut = cut.withColumn("coarse", known(F.size(F.filter("edges.coarse", lambda e: e < F.col("score")))))
+    near = F.slice("edges.fine", F.col("coarse") * _SIDE + 1, F.lit(_SIDE - 1))
+    fine = known(F.size(F.filter(near, lambda e: e < F.col("score"))))
+    cut = cut.select(*keys, "score", "pos", "neg", known(F.col("coarse") * _SIDE + fine).alias("bucket"))
 
     group = W.partitionBy(*keys)
     higher_buckets = group.orderBy(F.col("bucket").desc()).rowsBetween(W.unboundedPreceding, -1)
