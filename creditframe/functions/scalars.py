@@ -110,5 +110,11 @@ def weighted_terms(names, coef, mean, scale, column=F.col) -> Column:
     return total
 
 
+def sigmoid_of_negative(z: Column) -> Column:
+    """1 / (1 + e^z), as a power: a division would test its divisor in generated code every time."""
+    return F.pow(F.lit(1.0) + F.exp(z), F.lit(-1.0))
+
+
 def sigmoid(z: Column) -> Column:
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+    """1 / (1 + e^-z)."""
+    return sigmoid_of_negative(-z)

@@ -28,6 +28,7 @@ PREPAY_FEATURES = [*AGE_FEATURES, "fico", "orig_rate", "unemployment_rate", "hpi
 EXPECTED_SIGNS = {"unemployment_rate": 1, "current_ltv": 1, "fico": -1, "odti": 1}
 SEGMENT_FEATURES = ["fico", "oltv", "ocltv", "odti", "orig_rate", "orig_upb", "loan_term"]
 RARE_BELOW = 50
+MAX_CATEGORIES = 10_000
 MEDIAN_ERROR = 0.001
 
 
@@ -87,47 +88,51 @@ def coefficient_table(spark, hazard: Hazard) -> DataFrame:
 # --- default models ---------------------------------------------------------------------------
 
 
-def frequent_categories(df: DataFrame, columns=CATEGORICAL, rare_below: int = RARE_BELOW) -> dict[str, list[str]]:
-    """Categories of each column with enough rows; one grouped pass over all columns.
+def categories(df: DataFrame, columns=CATEGORICAL, rare_below: int = RARE_BELOW) -> dict[str, tuple[list, list]]:
+    """Frequent and rare categories of each coded column; one grouped pass over all columns.
 
-    The lists become encoder labels, which a Spark ML encoder keeps on the driver as well.
+    They become encoder labels, which a Spark ML encoder keeps on the driver as well, so a column
+    with too many values to encode is refused.
     """
     entries = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in columns])
     counts = df.select(F.inline(entries)).groupBy("name", "value").agg(F.count("*").alias("n"))
-    kept: dict[str, list[str]] = {c: [] for c in columns}
-    for row in counts.where(F.col("n") >= rare_below).orderBy("name", "value").collect():
-        kept[row["name"]].append(row["value"])
-    return kept
+    rows = counts.limit(MAX_CATEGORIES + 1).collect()
+    if len(rows) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories in {list(columns)}; one-hot encoding needs coded columns")
+    out: dict[str, tuple[list, list]] = {c: ([], []) for c in columns}
+    for row in sorted(rows):
+        out[row["name"]][row["n"] < rare_below].append(row["value"])
+    return out
 
 
 @dataclass
 class PdModel:
-    """A fitted pipeline with the category lists it was trained on."""
+    """A fitted pipeline with the categories it was trained on."""
 
     pipeline: PipelineModel
-    frequent: dict[str, list[str]]
-    seen_rare: dict[str, bool]
+    known: dict[str, tuple[list, list]]
 
     def prepare(self, df: DataFrame) -> DataFrame:
-        """Known categories as they are; all others pooled when training had rare ones, else unknown."""
-        out = df
-        for name, kept in self.frequent.items():
-            other = F.lit("rare") if self.seen_rare[name] else F.lit("unseen")
-            out = out.withColumn(name, F.when(F.col(name).isin(kept), F.col(name)).otherwise(other))
+        """Frequent categories as they are, rare ones pooled; others become an unseen label."""
+        out = df.fillna("missing", subset=list(self.known))
+        for name, (frequent, rare) in self.known.items():
+            value = F.col(name)
+            pooled = F.when(value.isin(frequent), value).when(value.isin(rare), "(rare)").otherwise("(unseen)")
+            out = out.withColumn(name, pooled)
         return _doubles(out, NUMERIC)
 
     def score(self, df: DataFrame, name: str = "pd") -> DataFrame:
-        scored = self.pipeline.transform(self.prepare(df)).withColumn("_p", vector_to_array("probability")[1])
-        return scored.select(*df.columns, F.col("_p").alias(name))
+        """Input rows with the probability of default as ``name``."""
+        keep = [F.col(c).alias(f"_in_{c}") for c in df.columns]
+        prepared = self.prepare(df.select("*", *keep))
+        scored = self.pipeline.transform(prepared)
+        originals = [F.col(f"_in_{c}").alias(c) for c in df.columns]
+        return scored.select(*originals, vector_to_array("probability")[1].alias(name))
 
 
-def _training_frame(df: DataFrame) -> tuple[DataFrame, dict, dict]:
-    filled = df.fillna("missing", subset=CATEGORICAL).where(F.col("default_flag").isNotNull())
-    frequent = frequent_categories(filled)
-    rare = filled.agg(
-        *[F.max((~F.col(c).isin(frequent[c])).cast("int")).alias(c) for c in CATEGORICAL]
-    ).first()
-    return filled, frequent, {c: bool(rare[c]) for c in CATEGORICAL}
+def _labelled(df: DataFrame) -> tuple[DataFrame, PdModel]:
+    rows = df.where(F.col("default_flag").isNotNull())
+    return rows, PdModel(None, categories(rows.fillna("missing", subset=CATEGORICAL)))
 
 
 def _class_counts(df: DataFrame) -> tuple[int, int]:
@@ -137,8 +142,7 @@ def _class_counts(df: DataFrame) -> tuple[int, int]:
 
 def fit_logit(train: DataFrame) -> PdModel:
     """Logistic benchmark with one-hot categories and balanced class weights."""
-    filled, frequent, rare = _training_frame(train)
-    model = PdModel(None, frequent, rare)
+    filled, model = _labelled(train)
     n, p = _class_counts(filled)
     weight = F.when(F.col("default_flag") == 1, n / (2.0 * p)).otherwise(n / (2.0 * (n - p)))
     data = model.prepare(filled).withColumn("weight", weight).withColumn("label", F.col("default_flag").cast("double"))
@@ -164,8 +168,7 @@ def fit_logit(train: DataFrame) -> PdModel:
 def fit_boosted(train: DataFrame, trees: int = 400, seed: int = 42) -> PdModel:
     """Boosted-tree challenger with the positive class weighted up to the negative one."""
     ensure_checkpoint_dir(train.sparkSession)
-    filled, frequent, rare = _training_frame(train)
-    model = PdModel(None, frequent, rare)
+    filled, model = _labelled(train)
     n, p = _class_counts(filled)
     weight = F.when(F.col("default_flag") == 1, (n - p) / float(max(p, 1))).otherwise(1.0)
     data = model.prepare(filled).withColumn("weight", weight).withColumn("label", F.col("default_flag").cast("double"))
@@ -208,8 +211,9 @@ class Calibrated:
 def calibrate(train: DataFrame, folds: int = 3, trees: int = 400, seed: int = 42) -> Calibrated:
     """Isotonic calibration over key-hashed folds.
 
-    Each fold is scored by a model that did not see it; equal scores are folded to one weighted row
-    before the isotonic fit, which leaves its result unchanged.
+    Each fold is scored by a model that did not see it. Spark's isotonic fit merges its pools on the
+    driver, so scores are first folded to six decimals: at most a million weighted points, however
+    many loans there are.
     """
     fold = F.floor(key_fraction(F.col(LOAN), seed) * F.lit(float(folds))).cast("int")
     labelled = train.where(F.col("default_flag").isNotNull()).withColumn("_fold", fold)
@@ -217,7 +221,7 @@ def calibrate(train: DataFrame, folds: int = 3, trees: int = 400, seed: int = 42
     for i in range(folds):
         model = fit_boosted(labelled.where(F.col("_fold") != i).drop("_fold"), trees, seed)
         held = model.score(labelled.where(F.col("_fold") == i).drop("_fold"), "raw")
-        points = held.groupBy("raw").agg(
+        points = held.groupBy(round_half_up(F.col("raw"), 6).alias("raw")).agg(
             F.avg(F.col("default_flag").cast("double")).alias("label"), F.count("*").cast("double").alias("weight")
         )
         isotonic = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight").fit(points)

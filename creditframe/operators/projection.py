@@ -19,7 +19,7 @@ from creditframe.functions.hazards import (
     START_AGE_Q,
     Hazard,
 )
-from creditframe.functions.scalars import round_half_up, sigmoid
+from creditframe.functions.scalars import round_half_up, sigmoid_of_negative
 
 # Scenarios carried per pass over the book; more are handled in further passes.
 SCENARIOS_PER_PASS = 1_000
@@ -66,20 +66,21 @@ def roll_forward(
     A hazard's log-odds split into a part the loan fixes, a part the path fixes and the LTV term. The
     path parts are folded into one flat row per scenario, a few numbers per quarter, which every loan
     is expanded by. The result has one row per loan and scenario: no join, no shuffle and no row per
-    quarter, and the quarters run as plain generated code over primitive columns.
+    quarter, and the quarters run as plain generated code over primitive columns. The generated method
+    must stay under the size the JVM still compiles, hence log-odds carried with their sign turned.
     """
     path_columns = set(paths.columns)
     on_path, on_loan = _split(default, path_columns)
-    loan_part = F.lit(default.intercept) + default.terms(on_loan)
+    loan_part = -(F.lit(default.intercept) + default.terms(on_loan))
     if _LTV in default.coef:
-        loan_part = loan_part - F.lit(default.coef[_LTV] * default.mean[_LTV] / default.scale[_LTV])
-        ltv_weight = F.lit(default.coef[_LTV] / default.scale[_LTV])
+        loan_part = loan_part + F.lit(default.coef[_LTV] * default.mean[_LTV] / default.scale[_LTV])
+        ltv_weight = F.lit(-default.coef[_LTV] / default.scale[_LTV])
     else:
         ltv_weight = F.lit(0.0)
     if isinstance(prepay, Hazard):
         pp_on_path, pp_on_loan = _split(prepay, path_columns)
-        prepay_loan = F.lit(prepay.intercept) + prepay.terms(pp_on_loan)
-        prepay_path = prepay.terms(pp_on_path)
+        prepay_loan = -(F.lit(prepay.intercept) + prepay.terms(pp_on_loan))
+        prepay_path = -prepay.terms(pp_on_path)
     else:
         prepay_loan, prepay_path = F.lit(float(prepay)), F.lit(0.0)
 
@@ -88,7 +89,7 @@ def roll_forward(
     points = aged.select(
         "scenario",
         "quarter_index",
-        default.terms(on_path).alias("path_part"),
+        (-default.terms(on_path)).alias("path_part"),
         F.try_divide(F.lit(hpi_as_of), F.col("hpi")).alias("price_ratio"),
         prepay_path.alias("prepay_part"),
     )
@@ -107,9 +108,9 @@ def roll_forward(
         wide = carried.select("*", F.inline(rows.scalar())).withColumn("surv_0", F.lit(1.0))
         for t in quarters:
             ltv = F.least(F.col("ltv_known") * F.col(f"pr_{t}"), F.lit(LTV_CAP))
-            hazard = sigmoid(F.col("loan_part") + F.col(f"zd_{t}") + ltv_weight * ltv)
+            hazard = sigmoid_of_negative(F.col("loan_part") + F.col(f"zd_{t}") + ltv_weight * ltv)
             leaving = (
-                sigmoid(F.col("prepay_loan") + F.col(f"zp_{t}"))
+                sigmoid_of_negative(F.col("prepay_loan") + F.col(f"zp_{t}"))
                 if isinstance(prepay, Hazard)
                 else F.col("prepay_loan")
             )

@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 MAX_SMALL_ROWS = 10_000
 
 
-def pinned_if_small(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
+def pinned_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Evaluate a small frame once and hold its rows in the plan; return a larger one unchanged.
 
     Reading stops at the bound, so at most ``max_rows`` + 1 rows ever reach the driver. Use it for
     parameter-like frames (macro history, scenario paths) that several joins read.
     """
+    max_rows = MAX_SMALL_ROWS if max_rows is None else max_rows
     rows = df.limit(max_rows + 1).toArrow()
     return df.sparkSession.createDataFrame(rows, df.schema) if rows.num_rows <= max_rows else df
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """A pinned frame with a broadcast hint, or the frame as it is, which Spark joins with a shuffle."""
     pinned = pinned_if_small(df, max_rows)
     return df if pinned is df else F.broadcast(pinned)

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Generated methods above 8000 bytes are not compiled by the JVM; fall back to smaller ones there.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Recording the Python call site of every column expression slows plan building.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -49,11 +49,21 @@ def test_logit_ranks_and_ignores_unknown_categories(spark, loans):
     assert 0 < model.score(odd).first().pd < 1
 
 
-def test_rare_categories_are_pooled(spark, loans):
-    kept = pd_models.frequent_categories(loans.fillna("missing", subset=["channel"]), ["channel", "state"])
+def test_rare_categories_are_pooled_and_unknown_ones_are_not(spark, loans):
+    known = pd_models.categories(loans.fillna("missing", subset=["channel"]), ["channel", "state"])
     counts = {r.state: r["count"] for r in loans.groupBy("state").count().collect()}
-    assert kept["state"] == sorted(s for s, n in counts.items() if n >= 50)
-    assert "missing" in kept["channel"]
+    assert known["state"] == (sorted(s for s, n in counts.items() if n >= 50), sorted(s for s, n in counts.items() if n < 50))
+    assert "missing" in known["channel"][0]
+    model = pd_models.PdModel(None, {"state": (["A"], ["B"])})
+    df = loans.limit(1).withColumn("state", F.explode(F.array(F.lit("A"), F.lit("B"), F.lit("C"))))
+    assert [r.state for r in model.prepare(df).collect()] == ["A", "(rare)", "(unseen)"]
+
+
+def test_too_many_categories_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(pd_models, "MAX_CATEGORIES", 3)
+    df = spark.range(5).selectExpr("string(id) AS c")
+    with pytest.raises(ValueError):
+        pd_models.categories(df, ["c"])
 
 
 def test_boosted_and_calibrated_scores(spark, loans):
