@@ -288,11 +288,10 @@ SELECT *, CASE WHEN pd < 0.087e0 THEN 'APPROVE' ELSE 'REVIEW / DECLINE' END AS d
        CASE WHEN pd < 0.12e0 THEN 'green' WHEN pd < 0.3e0 THEN 'amber' ELSE 'red' END AS colour, pd * 0.45e0 * "limit" AS expected_loss
 FROM (SELECT *, 1 / (1 + exp(-(-1.55e0 + c1 + c2 + c3 + c4 + c5))) AS pd FROM parts)""")
 
-view("scored", "features", f"""
+view("all_scored", "features", f"""
 SELECT loan_sequence_number, split, default_flag AS y, {r(HAZARD, 6)} AS s
-FROM (SELECT *, 12e0 AS loan_age_q, 144e0 AS loan_age_q_sq, CAST(oltv AS DOUBLE) AS current_ltv, 6.5e0 AS unemployment_rate FROM features)
-WHERE default_flag IS NOT NULL""")
-view("known", "scored", "SELECT * FROM scored WHERE s IS NOT NULL")
+FROM (SELECT *, 12e0 AS loan_age_q, 144e0 AS loan_age_q_sq, CAST(oltv AS DOUBLE) AS current_ltv, 6.5e0 AS unemployment_rate FROM features)""")
+view("known", "all_scored", "SELECT * FROM all_scored WHERE s IS NOT NULL AND y IS NOT NULL")
 view("curve", "known", """
 SELECT split, s, pos, cnt - pos AS neg, cnt, sum(pos) OVER w AS tp, sum(cnt - pos) OVER w AS fp,
        sum(pos) OVER (PARTITION BY split) AS p, sum(cnt - pos) OVER (PARTITION BY split) AS n
@@ -526,4 +525,32 @@ FROM (SELECT y, count(*) OVER () AS n, rank() OVER (ORDER BY s DESC) + (count(*)
     out["hazard_contributions"] = query("panel", f"""
 , sums AS (SELECT {means}, {corrs} FROM panel), long AS ({rows})
 SELECT feature, {r('a', 6)} AS mean_abs, {r('c', 6)} AS correlation, CAST(row_number() OVER (ORDER BY a DESC) AS INT) AS importance_rank FROM long""")
+    out["threshold_under_loss_limit"] = query("known origination", f"""
+, rows AS (SELECT s, y, orig_upb AS e, y * 0.45e0 * orig_upb AS l FROM known JOIN origination USING (loan_sequence_number)),
+cuts AS (SELECT s, sum(sum(y)) OVER w AS tp, sum(count(*) - sum(y)) OVER w AS fp, sum(sum(y)) OVER () AS p, sum(count(*) - sum(y)) OVER () AS n,
+                sum(sum(l)) OVER v AS lb, sum(sum(e)) OVER v AS eb, sum(count(*)) OVER v AS nb
+         FROM rows GROUP BY s WINDOW w AS (ORDER BY s DESC), v AS (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT s AS threshold, {r('tp / p::DOUBLE', 8)} AS sensitivity, {r('1 - fp / n::DOUBLE', 8)} AS specificity, {r('tp / p::DOUBLE - fp / n::DOUBLE', 8)} AS youden,
+       nb::BIGINT AS accepted, {r('lb / eb', 8)} AS accepted_loss_rate
+FROM cuts WHERE lb / eb <= 0.06 ORDER BY tp / p::DOUBLE - fp / n::DOUBLE DESC, s DESC LIMIT 1""")
+    out["subgroup_outcomes"] = query("known origination", f"""
+SELECT occupancy_status, count(*) AS n, {r('avg(y)', 8)} AS base_rate, {r('avg(CAST(s >= 0.001e0 AS INT))', 8)} AS declined_rate,
+       {r('avg(CAST(s >= 0.001e0 AS INT)) FILTER (y = 1)', 8)} AS true_positive_rate, {r('avg(CAST(s >= 0.001e0 AS INT)) FILTER (y = 0)', 8)} AS false_positive_rate
+FROM known JOIN origination USING (loan_sequence_number) GROUP BY 1""")
+    out["score_drift"] = query("all_scored", f"""
+, all_scores AS (SELECT split, s FROM all_scored WHERE s IS NOT NULL),
+edges AS (SELECT quantile_cont(s, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e FROM all_scores WHERE split = 'train'),
+binned AS (SELECT split, len(list_filter(e, lambda x: x < s)) AS bin, count(*) AS n FROM all_scores, edges GROUP BY 1, 2),
+shares AS (SELECT g.split, b.bin, greatest(coalesce((SELECT n FROM binned x WHERE x.split = g.split AND x.bin = b.bin), 0)
+             / (SELECT sum(n) FROM binned x WHERE x.split = g.split)::DOUBLE, 1e-6) AS f
+           FROM (SELECT DISTINCT split FROM binned) g, range(10) b(bin))
+SELECT a.split, {r('sum((a.f - b.f) * ln(a.f / b.f))', 8)} AS psi
+FROM shares a JOIN shares b ON b.bin = a.bin AND b.split = 'train' GROUP BY a.split""")
+    out["delinquency_migration"] = query("months", f"""
+, status AS (SELECT loan_sequence_number AS loan, (monthly_reporting_period // 100) * 12 + monthly_reporting_period % 100 AS m,
+             CASE WHEN max(dq) >= 6 THEN '3: 180+ dpd (default)' WHEN max(dq) >= 3 THEN '2: 90-150 dpd'
+                  WHEN max(dq) >= 1 THEN '1: 30-60 dpd' WHEN max(dq) = 0 THEN '0: current' ELSE '4: unknown' END AS st
+             FROM months GROUP BY 1, 2)
+SELECT a.st AS from_status, b.st AS to_status, count(*) AS n, {r('100e0 * count(*) / sum(count(*)) OVER (PARTITION BY a.st)', 2)} AS share_pct
+FROM status a JOIN status b ON b.loan = a.loan AND b.m = a.m + 1 GROUP BY 1, 2""")
     return out

@@ -15,6 +15,7 @@ from creditframe.operators import features as feat
 from creditframe.operators import (
     loss, macro, marts, panel, pd_models, portfolio, projection, sampling, scorecard, segments, target, validation,
 )
+from creditframe.operators.sizing import pinned_if_small
 from creditframe.plans import scenarios
 from creditframe.sources import files
 
@@ -416,7 +417,7 @@ def dim_scenario(spark, d):
 
 @register
 def fact_projection(spark, d):
-    losses = losses_view(spark, d)
+    losses = pinned_if_small(losses_view(spark, d))
     fact = marts.fact_projection(losses, marts.dim_scenario(losses))
     return rounded(fact, cumulative_loss_rate_pct=6, expected_loss=2)
 
@@ -429,7 +430,7 @@ def fact_segment_loss(spark, d):
 
 @register
 def mart_measures(spark, d):
-    losses = losses_view(spark, d)
+    losses = pinned_if_small(losses_view(spark, d))
     dim = marts.dim_scenario(losses)
     table = marts.measures(marts.fact_projection(losses, dim), dim)
     return rounded(table, mean_loss_rate_pct=6, expected_loss=2, times_base=6)
@@ -501,6 +502,34 @@ def score_deciles(spark, d):
     return rounded(validation.deciles(scored_view(spark, d), "default_flag", "score"), default_rate_pct=6)
 
 
+@register
+def threshold_under_loss_limit(spark, d):
+    """Cut-off for a 6% loss rate on the accepted loans, at 45% severity."""
+    upb = views.origination(spark, d).select(LOAN, "orig_upb")
+    rows = scored_view(spark, d).join(upb, LOAN)
+    lost = F.col("default_flag") * F.lit(0.45) * F.col("orig_upb")
+    best = validation.choose_threshold(rows, "default_flag", "score", lost, F.col("orig_upb"), 0.06)
+    return rounded(best, sensitivity=8, specificity=8, youden=8, accepted_loss_rate=8)
+
+
+@register
+def subgroup_outcomes(spark, d):
+    groups = views.origination(spark, d).select(LOAN, "occupancy_status")
+    rows = scored_view(spark, d).join(groups, LOAN)
+    table = validation.subgroup_outcomes(rows, "default_flag", "score", "occupancy_status", 0.001)
+    return rounded(table, base_rate=8, declined_rate=8, true_positive_rate=8, false_positive_rate=8)
+
+
+@register
+def score_drift(spark, d):
+    return rounded(validation.drift(scored_view(spark, d), "score", "split", "train"), psi=8)
+
+
+@register
+def delinquency_migration(spark, d):
+    return portfolio.migration_matrix(views.performance(spark, d))
+
+
 @register
 def hazard_contributions(spark, d):
     table = pd_models.contributions(panel_view(spark, d), PUBLISHED_DEFAULT)
@@ -562,6 +591,14 @@ def calibrated_test_reliability(spark, d):
     return validation.reliability(model.score(split_view(spark, d, "test")), "default_flag", "pd")
 
 
+@register
+def platt_scaled_test_metrics(spark, d):
+    scored = scored_view(spark, d)
+    model = pd_models.fit_platt(scored.where(F.col("split") == "train"), "default_flag", "score")
+    scaled = pd_models.platt_scaled(model, scored.where(F.col("split") == "test"), "score")
+    return validation.rank_metrics(scaled, "default_flag", "pd")
+
+
 @register
 def principal_components(spark, d):
     return pd_models.pca(features_view(spark, d))[0].select(LOAN, "pc1", "pc2", "pc3")

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from creditframe.functions.hazards import Hazard
-from creditframe.functions.scalars import key_fraction, round_half_up
+from creditframe.functions.scalars import key_fraction, round_half_up, sigmoid
 from creditframe.operators.features import CATEGORICAL, NUMERIC
 from creditframe.operators.target import LOAN
 from creditframe.session import ensure_checkpoint_dir
@@ -229,6 +229,21 @@ def calibrate(train: DataFrame, folds: int = 3, trees: int = 400, seed: int = 42
     return Calibrated(fitted)
 
 
+def fit_platt(holdout: DataFrame, y: str, score: str) -> PipelineModel:
+    """Platt scaling: an unpenalised logit of the outcome on the score of a holdout."""
+    rows = holdout.where(F.col(score).isNotNull() & F.col(y).isNotNull())
+    data = rows.select(F.col(score).cast("double").alias("raw"), F.col(y).cast("double").alias("label"))
+    stages = [VectorAssembler(inputCols=["raw"], outputCol="features"), LogisticRegression(labelCol="label")]
+    return Pipeline(stages=stages).fit(data)
+
+
+def platt_scaled(model: PipelineModel, df: DataFrame, score: str, name: str = "pd") -> DataFrame:
+    """The score mapped to a calibrated probability; the fit is two numbers applied as an expression."""
+    logit = model.stages[-1]
+    slope, intercept = float(logit.coefficients[0]), float(logit.intercept)
+    return df.withColumn(name, sigmoid(F.lit(intercept) + F.lit(slope) * F.col(score)))
+
+
 def contributions(df: DataFrame, hazard: Hazard) -> DataFrame:
     """Mean absolute log-odds contribution of each feature, its rank, and its correlation with the feature."""
     names = hazard.features

@@ -106,3 +106,27 @@ def worst_status(perf: DataFrame) -> DataFrame:
     # At most five rows reach this window.
     total = F.sum("loans").over(W.partitionBy())
     return counts.withColumn("pct_of_book", round_half_up(percent(F.col("loans"), total), 2))
+
+
+def migration_matrix(perf: DataFrame) -> DataFrame:
+    """Moves between delinquency bands from one month to the next, with the share of each start band.
+
+    Rows are folded to one per loan and month first, so the window over a loan is bounded by the
+    calendar. A pair counts when both months are reported.
+    """
+    period = F.col("monthly_reporting_period")
+    month = F.floor(period / F.lit(100.0)).cast("int") * F.lit(12) + period % F.lit(100)
+    months = perf.groupBy(LOAN, month.alias("month")).agg(
+        F.max(as_int(F.col("current_delinquency_status"))).alias("dq")
+    )
+    label = F.when(F.col("dq") >= 0, band(F.col("dq"), WORST_STATUS)).otherwise(WORST_STATUS_UNKNOWN)
+    following = W.partitionBy(LOAN).orderBy("month")
+    moves = months.select("month", label.alias("from_status"), LOAN).select(
+        "from_status",
+        F.lead("from_status").over(following).alias("to_status"),
+        (F.lead("month").over(following) - F.col("month")).alias("gap"),
+    )
+    counts = moves.where(F.col("gap") == 1).groupBy("from_status", "to_status").agg(F.count("*").alias("n"))
+    # At most 25 rows reach this window.
+    start = F.sum("n").over(W.partitionBy("from_status"))
+    return counts.withColumn("share_pct", round_half_up(percent(F.col("n"), start), 2))

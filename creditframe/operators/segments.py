@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from creditframe.functions.bands import FICO_MART, LTV_MART, Bands, band, band_rank
@@ -48,22 +49,24 @@ def loss_by_segment(cells: DataFrame, dims=DIMENSIONS) -> DataFrame:
     )
 
 
-def largest_states(cells: DataFrame, n: int = 10) -> DataFrame:
-    """The states with the largest opening exposure; every scenario holds the same book."""
-    one_scenario = cells.groupBy("scenario", "state").agg(F.sum("upb").alias("upb"))
-    exposure = one_scenario.where(F.col("state").isNotNull()).groupBy("state").agg(F.max("upb").alias("upb"))
-    return exposure.orderBy(F.col("upb").desc(), "state").limit(n)
+def keep_largest(report: DataFrame, dimension: str, n: int) -> DataFrame:
+    """The ``n`` segments of one dimension with the largest exposure, all rows of the others.
+
+    The choice is made on the finished report, one row per segment, so the loans are read once. Every
+    scenario holds the same book and hence keeps the same segments.
+    """
+    by_exposure = W.partitionBy("scenario", "dimension").orderBy(F.col("upb").desc(), "segment")
+    ranked = report.withColumn("_rank", F.row_number().over(by_exposure))
+    return ranked.where((F.col("dimension") != dimension) | (F.col("_rank") <= n)).drop("_rank")
 
 
 def loss_by_top_states(cells: DataFrame, n: int = 10) -> DataFrame:
-    # The limit bounds the broadcast side at n rows.
-    kept = cells.join(F.broadcast(largest_states(cells, n).select("state")), "state", "left_semi")
-    return loss_by_segment(kept, ["state"])
+    return keep_largest(loss_by_segment(cells, ["state"]), "state", n)
 
 
 def segment_report(cells: DataFrame, n_states: int = 10) -> DataFrame:
     """All dimensions and the largest states in one table."""
-    return loss_by_segment(cells).unionByName(loss_by_top_states(cells, n_states))
+    return keep_largest(loss_by_segment(cells, [*DIMENSIONS, "state"]), "state", n_states)
 
 
 def segment_view(report: DataFrame, scenario: str, dimension: str, bands: Bands) -> DataFrame:

@@ -6,7 +6,9 @@ many of each lie above. ``rank_table`` builds it without putting the scores in o
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -14,9 +16,13 @@ _SIDE = 32
 BUCKETS = _SIDE * _SIDE
 
 
-def rank_table(df: DataFrame, y: str, score: str, by: str | None = None) -> DataFrame:
+def rank_table(
+    df: DataFrame, y: str, score: str, by: str | None = None, measures: dict[str, Column] | None = None
+) -> DataFrame:
     """Per distinct score: n, pos, neg, the counts above it and the totals of its group.
 
+    ``measures`` names further additive columns, carried the same way as ``pos`` and ``neg``.
+
     1. Equal scores are folded first, so a score that many rows share is one row.
     2. Approximate quantiles of the distinct scores cut them into buckets of similar size. They only
        balance the work: any cut keeps equal scores together and buckets in score order.
@@ -28,21 +34,24 @@ def rank_table(df: DataFrame, y: str, score: str, by: str | None = None) -> Data
     folded = (
         df.where(F.col(score).isNotNull() & F.col(y).isNotNull())
         .groupBy(*keys, F.col(score).cast("double").alias("score"))
-        .agg(F.sum(F.col(y).cast("bigint")).alias("pos"), F.sum((F.lit(1) - F.col(y)).cast("bigint")).alias("neg"))
+        .agg(
+            F.sum(F.col(y).cast("bigint")).alias("pos"),
+            F.sum((F.lit(1) - F.col(y)).cast("bigint")).alias("neg"),
+            *[F.sum(column).alias(name) for name, column in (measures or {}).items()],
+        )
     )
+    names = ["pos", "neg", *(measures or {})]
     quantiles = F.expr("array(" + ", ".join(f"{k / BUCKETS}D" for k in range(1, BUCKETS)) + ")")
     # The sums keep the columns of this aggregate's input equal to those of the main branch, which
     # lets Spark reuse the fold for both.
     edges = folded.agg(
         F.percentile_approx("score", quantiles).alias("fine"),
-        F.sum("pos").alias("pos"),
-        F.sum("neg").alias("neg"),
+        *[F.sum(name).alias(name) for name in names],
     ).select(
         F.struct(
             "fine",
             F.transform(F.sequence(F.lit(1), F.lit(_SIDE - 1)), lambda j: F.get("fine", j * _SIDE - 1)).alias("coarse"),
-            "pos",
-            "neg",
+            *names,
         ).alias("edges")
     )
     # Two short searches of 31 edges instead of one over 1023. The bucket is never NULL, and saying so
@@ -52,34 +61,29 @@ def rank_table(df: DataFrame, y: str, score: str, by: str | None = None) -> Data
     cut = cut.withColumn("coarse", known(F.size(F.filter("edges.coarse", lambda e: e < F.col("score")))))
     near = F.slice("edges.fine", F.col("coarse") * _SIDE + 1, F.lit(_SIDE - 1))
     fine = known(F.size(F.filter(near, lambda e: e < F.col("score"))))
-    cut = cut.select(*keys, "score", "pos", "neg", known(F.col("coarse") * _SIDE + fine).alias("bucket"))
+    cut = cut.select(*keys, "score", *names, known(F.col("coarse") * _SIDE + fine).alias("bucket"))
 
     group = W.partitionBy(*keys)
     higher_buckets = group.orderBy(F.col("bucket").desc()).rowsBetween(W.unboundedPreceding, -1)
     # At most BUCKETS rows per group reach these windows.
-    totals = cut.groupBy(*keys, "bucket").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
+    totals = cut.groupBy(*keys, "bucket").agg(*[F.sum(name).alias(f"b_{name}") for name in names])
     offsets = totals.select(
         *keys,
         "bucket",
-        F.coalesce(F.sum("bp").over(higher_buckets), F.lit(0)).alias("pos_before"),
-        F.coalesce(F.sum("bn").over(higher_buckets), F.lit(0)).alias("neg_before"),
-        F.sum("bp").over(group).alias("pos_total"),
-        F.sum("bn").over(group).alias("neg_total"),
+        *[F.coalesce(F.sum(f"b_{name}").over(higher_buckets), F.lit(0)).alias(f"{name}_before") for name in names],
+        *[F.sum(f"b_{name}").over(group).alias(f"{name}_total") for name in names],
     )
     inside = W.partitionBy(*keys, "bucket").orderBy(F.col("score").desc()).rowsBetween(W.unboundedPreceding, -1)
-    ranked = cut.withColumn("pos_in", F.coalesce(F.sum("pos").over(inside), F.lit(0))).withColumn(
-        "neg_in", F.coalesce(F.sum("neg").over(inside), F.lit(0))
+    ranked = cut.select(
+        "*", *[F.coalesce(F.sum(name).over(inside), F.lit(0)).alias(f"{name}_in") for name in names]
     )
     return ranked.join(offsets, [*keys, "bucket"]).select(
         *keys,
         "score",
         (F.col("pos") + F.col("neg")).alias("n"),
-        "pos",
-        "neg",
-        (F.col("pos_before") + F.col("pos_in")).alias("pos_above"),
-        (F.col("neg_before") + F.col("neg_in")).alias("neg_above"),
-        "pos_total",
-        "neg_total",
+        *names,
+        *[(F.col(f"{name}_before") + F.col(f"{name}_in")).alias(f"{name}_above") for name in names],
+        *[f"{name}_total" for name in names],
     )
 
 
@@ -159,3 +163,66 @@ def deciles(df: DataFrame, y: str, score: str, groups: int = 10) -> DataFrame:
         F.sum("pos").alias("defaults"),
         F.try_divide(F.lit(100.0) * F.sum("pos"), F.sum("n")).alias("default_rate_pct"),
     )
+
+
+def choose_threshold(
+    df: DataFrame, y: str, score: str, loss: Column, exposure: Column, max_loss_rate: float
+) -> DataFrame:
+    """The cut-off with the largest TPR - FPR whose accepted rows keep within a loss rate.
+
+    Rows at or above the cut-off are declined. Every distinct score is tried; the result is one row.
+    """
+    table = rank_table(df, y, score, measures={"loss": loss, "exposure": exposure})
+    tpr = F.try_divide(F.col("pos_above") + F.col("pos"), F.col("pos_total"))
+    fpr = F.try_divide(F.col("neg_above") + F.col("neg"), F.col("neg_total"))
+    below = {name: F.col(f"{name}_total") - F.col(f"{name}_above") - F.col(name) for name in ("pos", "neg", "loss", "exposure")}
+    rows = table.select(
+        F.col("score").alias("threshold"),
+        tpr.alias("sensitivity"),
+        (F.lit(1.0) - fpr).alias("specificity"),
+        (tpr - fpr).alias("youden"),
+        (below["pos"] + below["neg"]).alias("accepted"),
+        F.try_divide(below["loss"], below["exposure"]).alias("accepted_loss_rate"),
+    )
+    allowed = rows.where(F.col("accepted_loss_rate") <= max_loss_rate)
+    best = allowed.agg(F.max_by(F.struct("*"), F.struct("youden", "threshold")).alias("best"))
+    return best.select("best.*")
+
+
+def subgroup_outcomes(df: DataFrame, y: str, score: str, group: str, threshold: float) -> DataFrame:
+    """Base rate, share declined and error rates per subgroup at one cut-off."""
+    declined = (F.col(score) >= threshold).cast("int")
+    known = df.where(F.col(score).isNotNull() & F.col(y).isNotNull())
+    sums = known.groupBy(group).agg(
+        F.count("*").alias("n"),
+        F.sum(y).alias("p"),
+        F.sum(declined).alias("d"),
+        F.sum(declined * F.col(y)).alias("hit"),
+    )
+    return sums.select(
+        group,
+        "n",
+        F.try_divide("p", "n").alias("base_rate"),
+        F.try_divide("d", "n").alias("declined_rate"),
+        F.try_divide("hit", "p").alias("true_positive_rate"),
+        F.try_divide(F.col("d") - F.col("hit"), F.col("n") - F.col("p")).alias("false_positive_rate"),
+    )
+
+
+def drift(df: DataFrame, value: str, by: str, base: str, bins: int = 10, floor: float = 1e-6) -> DataFrame:
+    """Population stability index of a value per group against the base group, in base quantile bins."""
+    rows = df.where(F.col(value).isNotNull()).withColumn("_one", F.lit(1))
+    edges = quantile_edges(rank_table(rows.where(F.col(by) == base), "_one", value), bins).scalar()
+    folded = rows.groupBy(by, F.col(value).cast("double").alias("value")).agg(F.count("*").alias("n"))
+    placed = folded.withColumn("edges", edges)
+    placed = placed.withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col("value"))))
+    # The rest works on one row per group and bin.
+    grid = placed.groupBy(by).pivot("bin", list(range(bins))).agg(F.sum("n"))
+    total = reduce(lambda a, b: a + b, [F.coalesce(F.col(str(i)), F.lit(0)) for i in range(bins)])
+    shares = grid.select(
+        by, *[F.greatest(F.coalesce(F.col(str(i)), F.lit(0)) / total, F.lit(floor)).alias(f"s{i}") for i in range(bins)]
+    )
+    reference = [F.max(F.when(F.col(by) == base, F.col(f"s{i}"))).over(W.partitionBy()).alias(f"b{i}") for i in range(bins)]
+    both = shares.select("*", *reference)
+    terms = [(F.col(f"s{i}") - F.col(f"b{i}")) * F.log(F.col(f"s{i}") / F.col(f"b{i}")) for i in range(bins)]
+    return both.select(by, reduce(lambda a, b: a + b, terms).alias("psi"))

@@ -1,6 +1,6 @@
 import pytest
 
-from creditframe.operators import features, loss, panel, target
+from creditframe.operators import features, loss, panel, portfolio, target
 
 PERF = (
     "loan_sequence_number string, monthly_reporting_period int, current_delinquency_status string, loan_age int, "
@@ -100,3 +100,9 @@ def test_fill_and_book(spark):
     df = spark.createDataFrame([(None, "covid", 700, None), ("Y", "covid", 700, 80), ("N", "crisis", 700, 80)], "fthb string, cohort string, fico int, oltv int")
     assert [r.fthb for r in features.fill_categories(df, ["fthb"]).collect()] == ["missing", "Y", "N"]
     assert features.as_of_book(df, required=["fico", "oltv"]).count() == 1
+
+
+def test_migration_counts_consecutive_months_across_the_year(spark):
+    rows = [month("F05Q10000001", p, d, 0) for p, d in ((200511, "0"), (200512, "1"), (200601, "0"), (200603, "6"), (200604, "XX"))]
+    got = {(r.from_status[0], r.to_status[0]): (r.n, r.share_pct) for r in portfolio.migration_matrix(spark.createDataFrame(rows, PERF)).collect()}
+    assert got == {("0", "1"): (1, 100.0), ("1", "0"): (1, 100.0), ("3", "4"): (1, 100.0)}

@@ -79,3 +79,34 @@ def test_deciles_share_mean_ranks(spark):
     for rank in ranks:
         expected[rank * 10 // 11] = expected.get(rank * 10 // 11, 0) + 1
     assert got == expected
+
+
+def test_threshold_equals_trying_every_score(spark):
+    rng = np.random.default_rng(8)
+    s = np.round(rng.random(600), 2)
+    y = (rng.random(600) < s).astype(int)
+    e = rng.uniform(1, 5, 600)
+    df = spark.createDataFrame([(int(a), float(b), float(c)) for a, b, c in zip(y, s, e)], "y int, s double, e double")
+    got = validation.choose_threshold(df, "y", "s", F.col("y") * F.col("e"), F.col("e"), 0.2).first()
+    best = None
+    for cut in np.unique(s):
+        low = s < cut
+        if low.any() and (y * e)[low].sum() / e[low].sum() <= 0.2:
+            youden = (s[y == 1] >= cut).mean() - (s[y == 0] >= cut).mean()
+            best = max(best or (-9, 0), (youden, cut))
+    assert np.isclose(got.youden, best[0]) and got.threshold == best[1] and got.accepted == (s < best[1]).sum()
+
+
+def test_drift_is_zero_against_itself_and_grows(spark):
+    rng = np.random.default_rng(9)
+    rows = [("a", float(x)) for x in rng.normal(0, 1, 2000)] + [("b", float(x)) for x in rng.normal(1, 1, 2000)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {r.g: r.psi for r in validation.drift(df, "x", "g", "a").collect()}
+    assert got["a"] == 0 and got["b"] > 0.25
+
+
+def test_subgroups(spark):
+    df = spark.createDataFrame([("m", 1, 0.9), ("m", 0, 0.9), ("m", 0, 0.1), ("f", 1, 0.1)], "g string, y int, s double")
+    got = {r.g: r for r in validation.subgroup_outcomes(df, "y", "s", "g", 0.5).collect()}
+    assert got["m"].true_positive_rate == 1 and got["m"].false_positive_rate == 0.5
+    assert got["f"].true_positive_rate == 0 and got["f"].false_positive_rate is None
