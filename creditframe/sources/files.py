@@ -9,21 +9,15 @@ from creditframe.functions.scalars import as_double, as_int
 from creditframe.sources import layouts
 
 
-def _has_files(spark: SparkSession, path: str, pattern: str) -> bool:
-    """True when the folder holds a matching file; lists names, reads no content."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return not listing.select("path").isEmpty()
-
-
 def detect_layout(spark: SparkSession, path: str) -> str:
-    """Which naming convention the files of a folder follow."""
-    if _has_files(spark, path, "sample_orig_*.txt"):
-        return "sample"
-    if _has_files(spark, path, "historical_data_time_*Q*.txt"):
-        return "quarterly"
-    if _has_files(spark, path, "historical_data_time_*.txt"):
-        return "standard"
-    return "quarterly"
+    """Which naming convention the files of a folder follow; the first one in ``LAYOUT_MARKS`` that occurs.
+
+    Lists the folder once and reads no file content.
+    """
+    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select("path")
+    seen = names.agg(*[F.max(F.col("path").rlike(mark)).alias(name) for name, mark in layouts.LAYOUT_MARKS.items()])
+    found = seen.first().asDict()
+    return next((name for name in layouts.LAYOUT_MARKS if found[name]), "quarterly")
 
 
 def _read_text_columns(spark: SparkSession, path: str, pattern: str, fields: list[str]) -> DataFrame:

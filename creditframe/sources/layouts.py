@@ -32,6 +32,13 @@ FILE_PATTERNS = {
     "quarterly": ("historical_data_[0-9]*Q[0-9].txt", "historical_data_time_[0-9]*Q[0-9].txt"),
 }
 
+# What a file name must look like for its layout to be taken, in order of precedence.
+LAYOUT_MARKS = {
+    "sample": r"/sample_orig_[^/]*\.txt$",
+    "quarterly": r"/historical_data_time_[^/]*Q[^/]*\.txt$",
+    "standard": r"/historical_data_time_[^/]*\.txt$",
+}
+
 # Typed columns; everything else in a layout stays text.
 INT_FIELDS = {
     "credit_score", "mi_pct", "num_units", "ocltv", "odti", "oltv", "orig_loan_term", "num_borrowers",
