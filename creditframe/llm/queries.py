@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditframe.llm import packing
+from creditframe.llm import language_id, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -29,6 +29,18 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def remainder(id_col: str, n: int):
+    """crc32 of the id as text, modulo ``n``: what parts the rows to learn from and the held-out ones."""
+    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(n))
+
+
+@register
+def op3_language_id(spark, d):
+    docs = table(spark, d, "documents")
+    found = language_id.identify(docs, remainder("doc_id", 4) != 2)
+    return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @register
 def op10_packing(spark, d):
     return packing.pack(table(spark, d, "documents"), tokenizer_path())
