@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditframe.llm import _text
+from creditframe.llm import _automaton, _text
 
 BLOCK = 1024
 SYMBOLS = 96
@@ -40,37 +40,6 @@ _OTHERS = re.compile(r"[\W\d_]+")
 _TARGET = np.int32((1 << 29) - 1)
 
 
-def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
-    """Transitions by state of the smallest automaton accepting all substrings; state 0 is the start."""
-    step: list[dict[int, int]] = [{}]
-    link, length = [-1], [0]
-    last = 0
-    for c in symbols:
-        new = len(step)
-        step.append({})
-        length.append(length[last] + 1)
-        link.append(0)
-        at = last
-        while at >= 0 and c not in step[at]:
-            step[at][c] = new
-            at = link[at]
-        if at >= 0:
-            to = step[at][c]
-            if length[to] != length[at] + 1:
-                copy = len(step)
-                step.append(dict(step[to]))
-                length.append(length[at] + 1)
-                link.append(link[to])
-                while at >= 0 and step[at].get(c) == to:
-                    step[at][c] = copy
-                    at = link[at]
-                link[to] = copy
-                to = copy
-            link[new] = to
-        last = new
-    return step
-
-
 @dataclass
 class Model:
     """Transition tables of all languages, one below the other, over a common alphabet.
@@ -107,7 +76,7 @@ def fit(samples: dict[str, list[str]], total_chars: int) -> Model:
     width = 3 + len(alphabet)
     tables, roots, bits, base = [], [], [], 0
     for lang in langs:
-        steps = suffix_automaton(classes[[ord(c) for c in texts[lang]]].tolist())
+        steps = _automaton.build(classes[[ord(c) for c in texts[lang]]].tolist()).step
         own = np.full((len(steps), width), -1, np.int64)
         for state, step in enumerate(steps):
             own[state, list(step)] = list(step.values())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditframe.llm import language_id, packing
+from creditframe.llm import language_id, licenses, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -41,6 +41,11 @@ def op3_language_id(spark, d):
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+@register
+def op8_license_scan(spark, d):
+    return licenses.scan(table(spark, d, "documents")).drop("spans")
+
+
 @register
 def op10_packing(spark, d):
     return packing.pack(table(spark, d, "documents"), tokenizer_path())
