@@ -62,13 +62,18 @@ def lower(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and the number of the first word of each text (one more at the end)."""
+def words(
+    data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, breaks: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and the number of the first word of each text (one more at the end).
+
+    ``breaks`` marks bytes at which a new word begins in any case; it has one more entry than ``data``.
+    """
     if not len(data):
         nothing = np.zeros(0, np.int64)
         return nothing, nothing, np.zeros(len(offsets), np.int64)
     inside = kind[data]
-    border = np.zeros(len(data) + 1, bool)
+    border = np.zeros(len(data) + 1, bool) if breaks is None else breaks.copy()
     border[offsets] = True
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1] | border[1:-1]

@@ -18,8 +18,10 @@ occur; an empty table gives no rows; columns other than the two named are ignore
 from __future__ import annotations
 
 import heapq
+import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,20 +32,45 @@ from creditframe.llm import _text
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 BLOCK_TOKENS = 1 << 21
-CACHED_WORDS = 1 << 20
+CACHED_WORDS = 1 << 21
+
+
+#: Bytes between which no tokenizer of the kind below merges: ASCII letters and digits on one side, ASCII
+#: punctuation but the apostrophe on the other. Punctuation of a tokenizer's special tokens is left out.
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[b for b in range(0x21, 0x7F) if not _ALNUM[b] and b != 0x27]] = True
+_PROBE = ["It", "isn't", ",", "4", ".", "5", "a", ".", "b", "###", "x"]
+
+
+@lru_cache(maxsize=2)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One tokenizer for all tasks of a worker process, so that words are learned once."""
+    return WordTokenizer(path)
 
 
 class WordTokenizer:
     """Token ids of texts, computed once for each different word.
 
-    Right for tokenizers that never join or look across ASCII white space, as those that split words
-    before merging do. The cache starts anew when it holds ``CACHED_WORDS`` words.
+    Right for tokenizers that never join or look across ASCII white space, or between an ASCII letter or
+    digit and punctuation, as those that split words before merging do; a probe refuses others. The cache
+    starts anew when it holds ``CACHED_WORDS`` words.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks share the cores
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        normalizer = self._tokenizer.normalizer
+        self._folds = normalizer is not None and normalizer.normalize_str("AbZ") == "abz"
+        whole, *parts = [e.ids for e in self._tokenizer.encode_batch_fast(["It isn't,4.5 a.b ###x", *_PROBE], add_special_tokens=False)]
+        if whole != [i for part in parts for i in part]:
+            raise ValueError("this tokenizer looks across words")
+        special = "".join(t.content for t in self._tokenizer.get_added_tokens_decoder().values())
+        self._mark = _MARK.copy()
+        self._mark[[ord(c) for c in special if ord(c) < 128]] = False
         self._forget()
 
     def _forget(self) -> None:
@@ -53,10 +80,10 @@ class WordTokenizer:
         self._ids = np.zeros(0, np.uint32)
 
     def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        found = [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found = [np.array(e.ids, np.uint32) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         starts = len(self._ids) + np.cumsum(lengths) - lengths
-        self._ids = np.concatenate((self._ids, np.fromiter((i for f in found for i in f), np.uint32, int(lengths.sum()))))
+        self._ids = np.concatenate((self._ids, *found))
         hashes = np.concatenate((self._hashes, hashes))
         order = np.argsort(hashes, kind="stable")
         self._hashes = hashes[order]
@@ -65,7 +92,13 @@ class WordTokenizer:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts and where each text's begin (one more at the end)."""
-        starts, ends, first = _text.words(data, offsets, _text.NOT_SPACE)
+        if self._folds:
+            data = _text.lower(data)
+        alnum, mark = _ALNUM[data], self._mark[data]
+        breaks = np.zeros(len(data) + 1, bool)
+        if len(data):
+            breaks[1:-1] = (alnum[:-1] & mark[1:]) | (mark[:-1] & alnum[1:])
+        starts, ends, first = _text.words(data, offsets, _text.NOT_SPACE, breaks)
         different, example, which = np.unique(_text.word_hashes(data, starts, ends), return_index=True, return_inverse=True)
         if len(self._hashes) + len(different) > CACHED_WORDS:
             self._forget()
@@ -161,7 +194,7 @@ def pack(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = word_tokenizer(tokenizer_path)
         sequence = TaskContext.get().partitionId() << 40
         ids, doc_ids, held = [], [], 0
         for rows, data, offsets in _text.pieces(batches, "text"):
