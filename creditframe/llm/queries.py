@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditframe.llm import language_id, licenses, packing
+from creditframe.llm import html_extract, language_id, licenses, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -34,6 +34,12 @@ def remainder(id_col: str, n: int):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(n))
 
 
+@register
+def op2_html_extract(spark, d):
+    found = html_extract.extract_pages(table(spark, d, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @register
 def op3_language_id(spark, d):
     docs = table(spark, d, "documents")
