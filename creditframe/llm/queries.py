@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditframe.llm import html_extract, language_id, licenses, packing
+from creditframe.llm import html_extract, language_id, licenses, line_dedup, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -34,6 +34,13 @@ def remainder(id_col: str, n: int):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(n))
 
 
+@register
+def op1_line_dedup(spark, d):
+    kept = line_dedup.dedup_lines(table(spark, d, "documents"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_lines", "n_dropped", digest)
+
+
 @register
 def op2_html_extract(spark, d):
     found = html_extract.extract_pages(table(spark, d, "pages"))

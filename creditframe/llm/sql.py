@@ -3,3 +3,21 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+# Lines of at least 40 code points, by key, and the document that keeps a key of five documents or more.
+ORACLES["op1_line_dedup"] = """
+WITH lines AS (
+    SELECT doc_id, i, split[i] AS line,
+           translate(trim(split[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM (SELECT doc_id, split, unnest(range(1, len(split) + 1)) AS i
+          FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS split FROM documents))
+),
+repeated AS (
+    SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 40
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM (SELECT doc_id, i, line, keeper IS NOT NULL AND keeper != doc_id AS gone FROM lines LEFT JOIN repeated USING (key))
+GROUP BY doc_id
+"""
