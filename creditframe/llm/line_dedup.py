@@ -137,15 +137,7 @@ def suspects(documents: DataFrame, text_col: str, min_chars: int) -> np.ndarray:
     spread = documents.select(F.col(text_col).alias("text")).mapInArrow(_spread(min_chars), "hash long")
     n = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = spread.repartition(n, "hash").mapInArrow(_suspect, "hash long")
-    # Words of the bitmap, folded before they reach the driver: never more than SUSPECT_BITS / 64 rows.
-    place = F.col("hash").bitwiseAND(SUSPECT_BITS - 1)
-    word = F.shiftright(place, 6).alias("word")
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
-    folded = found.groupBy(word).agg(F.bit_or(bit).alias("bits"))
-    words = np.zeros(SUSPECT_BITS // 64, np.uint64)
-    got = folded.toArrow()
-    words[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
-    return words
+    return _rows.bitmap(found, SUSPECT_BITS)
 
 
 def repeated_lines(
@@ -168,8 +160,8 @@ def repeated_lines(
                         keys += own
                 if not ids:
                     continue
-                at = np.array([xxhash.xxh3_64_intdigest(k) for k in keys], np.uint64) & np.uint64(SUSPECT_BITS - 1)
-                mask = pa.array((bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1)
+                hashes = np.array([xxhash.xxh3_64_intdigest(k) for k in keys], np.uint64)
+                mask = pa.array(_rows.marked(bitmap, hashes))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()).filter(mask), pa.array(keys, pa.string()).filter(mask)], names=["doc_id", "key"]
                 )
