@@ -33,13 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditframe.llm import _rows
+from creditframe.session import ensure_checkpoint_dir
 
 WHITE = " \t\n\v\f\r"
 FILTER_BITS = 1 << 22
 PROBES = 4
 SUSPECT_BITS = 1 << 26
 SALTS = 32
-_LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
 
 
 def keys_of(text: str, min_chars: int) -> list[str | None]:
@@ -49,7 +49,10 @@ def keys_of(text: str, min_chars: int) -> list[str | None]:
     keys = []
     for line in text.split("\n"):
         key = line.strip(WHITE)
-        keys.append(key.translate(_LOWER) if len(key) >= min_chars else None)
+        if len(key) < min_chars:
+            keys.append(None)
+        else:  # bytes know no letters but A-Z
+            keys.append(key.lower() if key.isascii() else key.encode().lower().decode())
     return keys
 
 
@@ -145,6 +148,7 @@ def repeated_lines(
 ) -> DataFrame:
     """``doc_id`` and the digests of the keys it loses, as one array per document that loses any."""
     spark = documents.sparkSession
+    ensure_checkpoint_dir(spark)
     shared = spark.sparkContext.broadcast(suspects(documents, text_col, min_chars))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,6 +173,7 @@ def repeated_lines(
     needed = documents.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text").where("doc_id is not null")
     lines = needed.mapInArrow(candidates, "doc_id long, key string")
     lines = lines.groupBy("key", "doc_id").agg(F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    lines = lines.checkpoint()  # read twice below
     counted = lines.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
     repeated = counted.where(F.col("n") >= min_docs).select("key", "keeper")
     lost = lines.join(_rows.salted(repeated, SALTS), ["key", "salt"]).where("doc_id != keeper")
