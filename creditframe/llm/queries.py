@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditframe.llm import html_extract, language_id, licenses, line_dedup, near_dedup, packing
+from creditframe.llm import html_extract, language_id, licenses, line_dedup, near_dedup, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -54,6 +54,13 @@ def op3_language_id(spark, d):
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+@register
+def op4_toxicity(spark, d):
+    labels = table(spark, d, "labels")
+    found = toxicity.score_documents(table(spark, d, "documents"), labels, remainder("doc_id", 3) != 1)
+    return found.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 @register
 def op6_near_dedup(spark, d):
     return near_dedup.near_duplicates(table(spark, d, "documents"))
