@@ -7,8 +7,8 @@ trained: two states, weights for a word's form, beginnings and ends, and for the
 
 To score a text its words are tagged by forward-backward over chains (a sentence, in parts of at most
 ``CHAIN`` words). ``score`` is ``1 - exp(-rate * s)``, where s sums the marginals of ``LEAST`` and more; the
-rate is the lowest of ``RATES`` under which 99 % of the sample's toxic documents reach ``FLAG``, so that as
-little as possible is taken for toxic by itself. Spans are runs of words of marginals of 0.5 and more.
+rate is the lowest of ``RATES`` under which 99 % of the sample's toxic documents with tagged words reach
+``FLAG``, so that as little as possible is taken for toxic by itself. Spans are runs of words of marginals of 0.5 and more.
 
 The labelled sample is the only thing that reaches the driver: at most ``rows_per_class`` rows of either
 label, chosen by a hash of their id, and ``chars_per_row`` characters of each; near copies in it count once.
@@ -45,9 +45,9 @@ _STOPS[[ord(c) for c in ".!?\n"]] = True
 
 
 def features(word: str) -> list[str]:
-    """What the field knows of a word: its form, its beginnings of 4 to 6 and its ends of 4 characters."""
+    """What the field knows of a word: its form, its beginnings of 4 to 8 and its ends of 4 characters."""
     n = len(word)
-    return ["w" + word, *["p" + word[:k] for k in (4, 5, 6) if n > k], *(["s" + word[-4:]] if n > 4 else [])]
+    return ["w" + word, *["p" + word[:k] for k in (4, 5, 6, 7, 8) if n > k], *(["s" + word[-4:]] if n > 4 else [])]
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -131,7 +131,7 @@ def different(texts: list[str]) -> list[list[list[str]]]:
     return out
 
 
-def toxic_features(toxic: list[list[list[str]]], others: list[list[list[str]]], least: float = 40.0) -> set[str]:
+def toxic_features(toxic: list[list[list[str]]], others: list[list[list[str]]], least: float = 25.0) -> set[str]:
     """Forms and beginnings that tell toxic documents: seen there far beyond chance and hardly elsewhere."""
     counts = []
     for docs in (toxic, others):
@@ -183,7 +183,7 @@ def train(toxic: list[str], others: list[str], rounds: int = 60, penalty: float
     weights = {f: float(x[k]) for f, k in names.items() if abs(x[k]) > 1e-3}
     field = Field(weights, float(x[-5]), x[-4:].reshape(2, 2).copy())
     sums, _ = Tagger(field).sums(*_text.flat(pa.array(toxic, pa.string())))
-    reached = [rate for rate in RATES if np.mean(1 - np.exp(-rate * sums) >= FLAG) >= 0.99]
+    reached = [rate for rate in RATES if np.mean(1 - np.exp(-rate * sums[sums >= 0.5]) >= FLAG) >= 0.99]
     field.rate = reached[0] if reached else RATES[-1]
     return field
 
