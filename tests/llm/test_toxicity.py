@@ -54,8 +54,8 @@ def made_up(spark):
         docs.append((i, " ".join(words) + ".", None, 1, "x"))
         if i < 300:
             labels.append((i, int(i % 4 == 0)))
-    docs += [(1000, None, None, 1, None), (1001, "", None, 1, None), (1002, "Grobble é zonkwit", None, 1, None)]
-    docs += [(1003, "lorem " * 50000 + "grobble. zonkwit", None, 1, None), (1003, "lorem", None, 1, None)]
+    docs += [(1000, None, None, 1, None), (1001, "", None, 1, None), (1002, "Grobble é zonkwit a zonkish", None, 1, None)]
+    docs += [(1003, "lorem " * 50000 + "grobble. zonkwit, zonkish", None, 1, None), (1003, "lorem", None, 1, None)]
     return spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels + [(5, None), (None, 1)], "doc_id long, toxic int")
 
 
@@ -66,7 +66,7 @@ def test_made_up_words(made_up):
     assert all((r.score >= 0.7) == (r.doc_id % 4 == 0) == bool(r.predicted) for r in got if r.doc_id < 1000)
     rest = sorted((r for r in got if r.doc_id >= 1000), key=lambda r: (r.doc_id, r.score))
     assert [r.score for r in rest[:2]] == [0.0, 0.0] and rest[3].predicted == 0 and rest[4].predicted == 1
-    assert [(s.start, s.end) for s in rest[2].spans] == [(0, 7), (10, 17)]
+    assert [(s.start, s.end) for s in rest[2].spans] == [(0, 7), (10, 17), (20, 27)]
 
 
 def test_nothing_to_learn(spark, made_up):
