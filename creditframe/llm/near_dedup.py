@@ -38,11 +38,9 @@ from creditframe.llm.components import connected_components
 from creditframe.session import ensure_checkpoint_dir
 
 HALF = 8
-BINS = 128
+BINS = 512
 BLOCK = 512
 ID_BITS = 1 << 26
-#: Four deviations of an estimate from ``BINS`` samples at 0.8 are 0.14.
-SLACK = 0.15
 
 _RANDOM = np.random.default_rng(20240607)
 _FACTOR = _RANDOM.integers(1, 2**63, 4 * HALF, dtype=np.uint64) | np.uint64(1)
@@ -78,10 +76,14 @@ def sketch(own: np.ndarray) -> np.ndarray:
 
 def likely(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
     """Whether pairs of sketches may belong to sets of at least that similarity; sizes alone can rule it out."""
-    fits = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
+    least = percent / 100
+    fits = np.minimum(n_a, n_b) >= least * np.maximum(n_a, n_b)
     same = ((a == b) & (a > 0)).sum(1)
     used = ((a > 0) | (b > 0)).sum(1)
-    return fits & (same >= (percent / 100 - SLACK) * used)
+    # The ranges sample ``used`` of the union's elements without putting any back.
+    union = (n_a + n_b) / (1 + least)
+    deviation = np.sqrt(least * (1 - least) / np.maximum(used, 1) * np.maximum(1 - used / np.maximum(union, 1), 0.02))
+    return fits & (same >= (least - 4 * deviation - 0.005) * used)
 
 
 def _features(width: int):
@@ -153,7 +155,7 @@ def _cross_pairs(percent: int):
     def compare(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         b1, b2, own, table, head, ids, sizes, comps = (rows.column(k).to_numpy() for k in range(1, 9))
         keys = rows.column(0).to_numpy()
-        sub = _matrix(rows.column(9), np.int64, 2 * HALF)
+        sub = _matrix(rows.column(9), np.int32, 2 * HALF)
         sketches = _matrix(rows.column(10), np.uint8, BINS)
         new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (b1[1:] != b1[:-1]) | (b2[1:] != b2[:-1])))
         at = np.flatnonzero(new)
@@ -263,7 +265,8 @@ def near_duplicates(
     rows = rows.select(
         "key", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", "t", "head", "id"
     )
-    rows = rows.join(named.select("id", "n", "component", "sub", "sketch"), "id")
+    short = F.transform("sub", lambda x: F.pmod(x, F.lit(2**31 - 1)).cast("int")).alias("sub")  # enough within a bucket
+    rows = rows.join(named.select("id", "n", "component", short, "sketch"), "id")
     rows = rows.select("key", "b1", "b2", "own", F.col("t").cast("long").alias("t"), "head", "id", "n", "component", "sub", "sketch")
     n = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(n, "key", "b1", "b2").sortWithinPartitions("key", "b1", "b2")
