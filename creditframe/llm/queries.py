@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditframe.llm import html_extract, language_id, licenses, line_dedup, near_dedup, packing, toxicity
+from creditframe.llm import decontaminate, html_extract, language_id, licenses, line_dedup, near_dedup, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -61,6 +61,12 @@ def op4_toxicity(spark, d):
     return found.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+@register
+def op5_decontaminate(spark, d):
+    found = decontaminate.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return found.select("doc_id", "n_items", F.concat_ws(",", F.col("item_ids").cast("array<string>")).alias("item_ids"))
+
+
 @register
 def op6_near_dedup(spark, d):
     return near_dedup.near_duplicates(table(spark, d, "documents"))

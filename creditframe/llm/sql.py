@@ -21,3 +21,30 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM (SELECT doc_id, i, line, keeper IS NOT NULL AND keeper != doc_id AS gone FROM lines LEFT JOIN repeated USING (key))
 GROUP BY doc_id
 """
+
+# Every shared run of five words of every document and item, counted.
+ORACLES["op5_decontaminate"] = """
+WITH texts AS (
+    SELECT 'd' AS kind, doc_id AS id, text FROM documents
+    UNION ALL SELECT 'i', item_id, text FROM benchmark
+),
+words AS (
+    SELECT kind, id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x09-\\x0D\\x20]+') AS w
+    FROM texts
+),
+shingles AS (
+    SELECT DISTINCT kind, id, array_to_string(w[k:k + 4], ' ') AS s
+    FROM (SELECT kind, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM words WHERE len(w) > 0)
+),
+sizes AS (SELECT id, count(*) AS n FROM shingles WHERE kind = 'i' GROUP BY id),
+links AS (
+    SELECT d.id AS doc_id, i.id AS item_id
+    FROM shingles i JOIN shingles d ON i.s = d.s AND i.kind = 'i' AND d.kind = 'd' JOIN sizes ON sizes.id = i.id
+    GROUP BY d.id, i.id, sizes.n HAVING 100 * count(*) >= 80 * sizes.n
+)
+SELECT doc_id, count(item_id) AS n_items,
+       coalesce(string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id), '') AS item_ids
+FROM documents LEFT JOIN links USING (doc_id) GROUP BY doc_id
+"""
