@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditframe.llm import decontaminate, html_extract, language_id, licenses, line_dedup, near_dedup, packing, toxicity
+from creditframe.llm import decontaminate, html_extract, language_id, licenses, line_dedup, near_dedup, packing, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -77,6 +77,11 @@ def op8_license_scan(spark, d):
     return licenses.scan(table(spark, d, "documents")).drop("spans")
 
 
+@register
+def op9_quality_rules(spark, d):
+    return quality.judge(table(spark, d, "documents")).drop("text_hash")
+
+
 @register
 def op10_packing(spark, d):
     return packing.pack(table(spark, d, "documents"), tokenizer_path())
