@@ -39,7 +39,7 @@ from creditframe.session import ensure_checkpoint_dir
 
 HALF = 8
 BINS = 512
-BLOCK = 512
+BLOCK = 2048
 ID_BITS = 1 << 26
 
 _RANDOM = np.random.default_rng(20240607)
