@@ -37,8 +37,8 @@ FLOORS = (0.5**2, 0.1**2, 0.35**2, 0.15**2, 0.15**2)
 HALF = 0.75
 #: 0.75 / P(chi2 of 7 <= the 0.75 quantile of chi2 of 5): makes the trimmed variance that of normal data.
 CONSISTENCY = 1.4127
-#: The 0.9999 quantile of chi2 of 5.
-CUT = 25.745
+#: The 0.99999 quantile of chi2 of 5.
+CUT = 30.856
 STEPS = 3
 _P = range(len(DIMENSIONS))
 _PAIRS = [(i, j) for i in _P for j in range(i + 1)]
