@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditframe.llm import decontaminate, html_extract, language_id, licenses, line_dedup, near_dedup, packing, quality, toxicity
+from creditframe.llm import decontaminate, html_extract, language_id, licenses, line_dedup, near_dedup, packing, quality, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -72,6 +72,12 @@ def op6_near_dedup(spark, d):
     return near_dedup.near_duplicates(table(spark, d, "documents"))
 
 
+@register
+def op7_suffix_dedup(spark, d):
+    kept = suffix_dedup.remove_repeats(table(spark, d, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @register
 def op8_license_scan(spark, d):
     return licenses.scan(table(spark, d, "documents")).drop("spans")
