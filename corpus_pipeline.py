@@ -1,23 +1,60 @@
-"""The corpus pipeline: stages over documents, each written and read again before the next."""
+"""The corpus pipeline: stages over documents, each written and read again before the next.
+
+Quality rules drop documents, line dedup shortens them, near-dedup keeps one document of each group,
+decontamination drops those that hold a benchmark item, and packing lays what is left out in sequences.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from creditframe.llm import packing
+from creditframe.llm import decontaminate, line_dedup, near_dedup, packing, quality
 from creditframe.llm.queries import tokenizer_path
+from creditframe.session import ensure_checkpoint_dir
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs)
+
+
+def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return kept.select(docs.columns)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.keep_one(docs, width=5, percent=80)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.remove_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path())
 
 
-STAGES = [("packing", packed)]
+STAGES = [
+    ("quality_rules", good),
+    ("line_dedup", without_shared_lines),
+    ("near_dedup", without_near_copies),
+    ("decontamination", without_benchmark),
+    ("packing", packed),
+]
+#: Estimates by group, near-duplicate components and token ids have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage; the others are written to the checkpoint folder."""
+    folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -126,3 +126,9 @@ def contamination(documents: DataFrame, benchmark: DataFrame, **options) -> Data
         F.when(F.col("item_ids").isNull(), 0).otherwise(F.size("item_ids")).cast("long").alias("n_items"),
         F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"),
     )
+
+
+def remove_leaks(documents: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """The documents that no item contaminates, with all their columns."""
+    leaks = find_leaks(documents, benchmark, id_col=id_col, **options).select(F.col("doc_id").alias("leaking")).distinct()
+    return documents.join(leaks, F.col(f"`{id_col}`").cast("long") == F.col("leaking"), "left_anti")

@@ -280,3 +280,16 @@ def near_duplicates(
     out = features.select("doc_id", "n_shingles").join(member, "doc_id", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+
+
+def keep_one(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One document of each group of near duplicates, the one of the smallest id, with all its columns.
+
+    Of rows of equal id one stays; rows without an id stay as they are.
+    """
+    found = near_duplicates(documents, id_col=id_col, text_col=text_col, **options)
+    dropped = found.where(~F.col("kept")).select("doc_id").distinct()
+    rows = _rows.apart(documents, id_col, text_col).join(dropped, "doc_id", "left_anti")
+    unnamed = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).alias("unnamed")
+    rows = rows.select("*", unnamed).dropDuplicates(["doc_id", "unnamed"])
+    return _rows.together(rows, documents.columns, text_col, {})
