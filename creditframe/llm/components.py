@@ -19,7 +19,7 @@ def _star(edges: DataFrame, both_ways: bool) -> DataFrame:
         moved = joined.where("low > high").select(F.col("low").alias("high"), F.col("least").alias("low"))
     else:
         moved = joined.select(F.col("low").alias("high"), F.col("least").alias("low")).union(least.toDF("high", "low"))
-    return moved.where("high != low").distinct()
+    return moved.where("high != low")
 
 
 def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -33,7 +33,7 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     edges = edges.checkpoint()
     state = None
     while True:
-        edges = _star(_star(edges, True), False).checkpoint()
+        edges = _star(_star(edges, True), False).distinct().checkpoint()
         found = edges.agg(F.count("*"), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))).first()
         if found == state:
             break

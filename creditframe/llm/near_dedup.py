@@ -65,12 +65,20 @@ def sub_keys(sets: list[np.ndarray]) -> np.ndarray:
     return _text.mix(least[:, 0::2] * np.uint64(3) + _text.mix(least[:, 1::2]))
 
 
-def sketch(own: np.ndarray) -> np.ndarray:
-    """A byte of the least shingle in each range of hashes, 0 where there is none."""
+def sketch(own: np.ndarray) -> bytes:
+    """Which ranges of hashes have a shingle, as bits, and a byte of the least one of each that has."""
     at = np.concatenate(([0], np.searchsorted(own, _EDGES), [len(own)]))
     filled = at[:-1] < at[1:]
-    out = np.zeros(BINS, np.uint8)
-    out[filled] = own[at[:-1][filled]] % np.uint64(255) + np.uint64(1)
+    values = own[at[:-1][filled]] % np.uint64(255) + np.uint64(1)
+    return np.packbits(filled).tobytes() + values.astype(np.uint8).tobytes()
+
+
+def unpacked(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of bytes, 0 where a range has no shingle."""
+    head = BINS // 8
+    filled = np.unpackbits(np.frombuffer(b"".join(x[:head] for x in sketches), np.uint8).reshape(-1, head), axis=1) > 0
+    out = np.zeros(filled.shape, np.uint8)
+    out[filled] = np.frombuffer(b"".join(x[head:] for x in sketches), np.uint8)
     return out
 
 
@@ -96,7 +104,7 @@ def _features(width: int):
                 for k, sub in zip(full, sub_keys([sets[k] for k in full]).view(np.int64)):
                     keys[k] = xxhash.xxh3_128_digest(sets[k].tobytes())
                     subs[k] = sub
-                    sketches[k] = sketch(sets[k]).tobytes()
+                    sketches[k] = sketch(sets[k])
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column(0),
@@ -111,20 +119,13 @@ def _features(width: int):
     return run
 
 
-def _matrix(column: pa.Array, dtype, width: int) -> np.ndarray:
-    """A fixed-width list or binary column as a matrix."""
-    if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
-        return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
-    return column.flatten().to_numpy(zero_copy_only=False).astype(dtype).reshape(-1, width)
-
-
 def _star_filter(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 1 << 14):
                 r = batch.slice(first, 1 << 14)
                 keep = likely(
-                    _matrix(r.column(2), np.uint8, BINS), _matrix(r.column(3), np.uint8, BINS),
+                    unpacked(r.column(2).to_pylist()), unpacked(r.column(3).to_pylist()),
                     r.column(4).to_numpy(), r.column(5).to_numpy(), percent,
                 )
                 yield r.select([0, 1]).filter(pa.array(keep))
@@ -155,8 +156,8 @@ def _cross_pairs(percent: int):
     def compare(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         b1, b2, own, table, head, ids, sizes, comps = (rows.column(k).to_numpy() for k in range(1, 9))
         keys = rows.column(0).to_numpy()
-        sub = _matrix(rows.column(9), np.int32, 2 * HALF)
-        sketches = _matrix(rows.column(10), np.uint8, BINS)
+        sub = rows.column(9).flatten().to_numpy(zero_copy_only=False).reshape(-1, 2 * HALF)
+        sketches = unpacked(rows.column(10).to_pylist())
         new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (b1[1:] != b1[:-1]) | (b2[1:] != b2[:-1])))
         at = np.flatnonzero(new)
         for a, b in pairs_of(np.diff(np.append(at, len(keys)))):
@@ -226,8 +227,8 @@ def near_duplicates(
     classes = filled.groupBy("set_key").agg(F.min("doc_id").alias("id"))
     member = _rows.hot_join(filled.select("doc_id", "set_key"), classes, ["set_key"]).select("doc_id", "id", "set_key")
     member = member.checkpoint()
-    reps = filled.join(member.where("doc_id = id").select("set_key", "id").distinct(), "set_key")
-    reps = reps.where("doc_id = id").dropDuplicates(["set_key"]).select("id", F.col("n_shingles").alias("n"), "sub", "sketch")
+    reps = filled.join(classes.withColumnRenamed("id", "doc_id"), ["set_key", "doc_id"]).dropDuplicates(["set_key", "doc_id"])
+    reps = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sub", "sketch").checkpoint()
 
     # Classes that share a sub-key of either collection with another one.
     parts = reps.select("id", F.posexplode("sub").alias("i", "v"))
