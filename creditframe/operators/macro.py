@@ -24,19 +24,20 @@ def one_series(quarterly: DataFrame, name: str) -> DataFrame:
 
 
 def yoy(df: DataFrame, value: str, name: str, by=(), order: str = "quarter_key", lag: int = 4, base=None) -> DataFrame:
-    """Growth in percent over the value ``lag`` rows earlier, or over ``base`` where there is none.
+    """Growth in percent over the value ``lag`` periods earlier, or over ``base`` where there is none.
 
-    The window holds one row per period of a series; callers aggregate to that grain first.
+    ``order`` numbers the periods, so one that is missing is no value rather than a shift. The window holds
+    one row per period of a series; callers aggregate to that grain first.
     """
-    earlier = F.lag(value, lag).over(W.partitionBy(*by).orderBy(order))
+    earlier = F.max(value).over(W.partitionBy(*by).orderBy(order).rangeBetween(-lag, -lag))
     if base is not None:
         earlier = F.coalesce(earlier, base if isinstance(base, Column) else F.lit(base))
     return df.withColumn(name, (F.try_divide(F.col(value), earlier) - F.lit(1.0)) * F.lit(100.0))
 
 
 def annualised(df: DataFrame, value: str, name: str, by=(), order: str = "quarter_key") -> DataFrame:
-    """Quarter-on-quarter growth in percent, times four."""
-    earlier = F.lag(value, 1).over(W.partitionBy(*by).orderBy(order))
+    """Growth in percent over the quarter before, times four; NULL where that one is missing."""
+    earlier = F.max(value).over(W.partitionBy(*by).orderBy(order).rangeBetween(-1, -1))
     return df.withColumn(name, (F.try_divide(F.col(value), earlier) - F.lit(1.0)) * F.lit(400.0))
 
 

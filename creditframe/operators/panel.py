@@ -15,7 +15,6 @@ from creditframe.functions.scalars import (
     origination_quarter_of_key,
     quarter_key,
 )
-from creditframe.operators.sizing import broadcast_if_small
 from creditframe.operators.target import LOAN
 
 PANEL_FEATURES = ["fico", "oltv", "odti", "orig_rate"]
@@ -64,9 +63,10 @@ def hazard_panel(perf: DataFrame, features: DataFrame, macro: DataFrame) -> Data
     """One row per loan and quarter until the stop quarter, with loan and macro covariates.
 
     ``features`` needs the origination columns only. ``macro`` has one row per ``quarter_key`` and is
-    joined twice, at the current and at the origination quarter; it is broadcast when small.
+    joined twice, at the current and at the origination quarter.
     """
-    macro = broadcast_if_small(macro)
+    # One row for each quarter of the calendar, however long the input is.
+    macro = F.broadcast(macro.dropDuplicates(["quarter_key"]))
     now = macro.select(
         "quarter_key", "unemployment_rate", "hpi_yoy", "mortgage_rate", F.col("hpi").alias("hpi_now")
     )

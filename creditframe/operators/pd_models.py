@@ -74,7 +74,8 @@ def hazard_parameters(model: PipelineModel, features: list[str]) -> Hazard:
         intercept=float(logit.intercept),
         coef=dict(zip(features, map(float, logit.coefficients))),
         mean=dict(zip(features, map(float, scaler.mean))),
-        scale=dict(zip(features, map(float, scaler.std))),
+        # A constant feature is scaled to 0 in the fit; any divisor but 0 does the same here.
+        scale={name: float(std) or 1.0 for name, std in zip(features, scaler.std)},
     )
 
 
@@ -144,7 +145,7 @@ def fit_logit(train: DataFrame) -> PdModel:
     """Logistic benchmark with one-hot categories and balanced class weights."""
     filled, model = _labelled(train)
     n, p = _class_counts(filled)
-    weight = F.when(F.col("default_flag") == 1, n / (2.0 * p)).otherwise(n / (2.0 * (n - p)))
+    weight = F.when(F.col("default_flag") == 1, n / (2.0 * max(p, 1))).otherwise(n / (2.0 * max(n - p, 1)))
     data = model.prepare(filled).withColumn("weight", weight).withColumn("label", F.col("default_flag").cast("double"))
     indexed, encoded = [f"{c}_index" for c in CATEGORICAL], [f"{c}_hot" for c in CATEGORICAL]
     stages = [
@@ -172,6 +173,8 @@ def fit_boosted(train: DataFrame, trees: int = 400, seed: int = 42) -> PdModel:
     n, p = _class_counts(filled)
     weight = F.when(F.col("default_flag") == 1, (n - p) / float(max(p, 1))).otherwise(1.0)
     data = model.prepare(filled).withColumn("weight", weight).withColumn("label", F.col("default_flag").cast("double"))
+    # A split needs a bin for each category; the indexer adds one for the unknown.
+    bins = max(64, *(len(frequent) + 4 for frequent, _ in model.known.values()))
     indexed = [f"{c}_index" for c in CATEGORICAL]
     numbers = [f"{c}_filled" for c in NUMERIC]
     stages = [
@@ -180,7 +183,7 @@ def fit_boosted(train: DataFrame, trees: int = 400, seed: int = 42) -> PdModel:
         VectorAssembler(inputCols=[*numbers, *indexed], outputCol="features"),
         GBTClassifier(
             labelCol="label", weightCol="weight", maxIter=trees, maxDepth=5, stepSize=0.05, subsamplingRate=0.8,
-            featureSubsetStrategy="0.8", minInstancesPerNode=5, maxBins=64, seed=seed, checkpointInterval=10,
+            featureSubsetStrategy="0.8", minInstancesPerNode=5, maxBins=bins, seed=seed, checkpointInterval=10,
         ),
     ]
     data = data.persist()
@@ -211,9 +214,8 @@ class Calibrated:
 def calibrate(train: DataFrame, folds: int = 3, trees: int = 400, seed: int = 42) -> Calibrated:
     """Isotonic calibration over key-hashed folds.
 
-    Each fold is scored by a model that did not see it. Spark's isotonic fit merges its pools on the
-    driver, so scores are first folded to six decimals: at most a million weighted points, however
-    many loans there are.
+    Each fold is scored by a model that did not see it. Equal scores are folded to one weighted point
+    first; Spark's isotonic fit merges its pools on the driver.
     """
     fold = F.floor(key_fraction(F.col(LOAN), seed) * F.lit(float(folds))).cast("int")
     labelled = train.where(F.col("default_flag").isNotNull()).withColumn("_fold", fold)
@@ -221,7 +223,7 @@ def calibrate(train: DataFrame, folds: int = 3, trees: int = 400, seed: int = 42
     for i in range(folds):
         model = fit_boosted(labelled.where(F.col("_fold") != i).drop("_fold"), trees, seed)
         held = model.score(labelled.where(F.col("_fold") == i).drop("_fold"), "raw")
-        points = held.groupBy(round_half_up(F.col("raw"), 6).alias("raw")).agg(
+        points = held.groupBy("raw").agg(
             F.avg(F.col("default_flag").cast("double")).alias("label"), F.count("*").cast("double").alias("weight")
         )
         isotonic = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight").fit(points)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,8 +20,6 @@ from creditframe.functions.hazards import (
 )
 from creditframe.functions.scalars import round_half_up, sigmoid_of_negative
 
-# Scenarios carried per pass over the book; more are handled in further passes.
-SCENARIOS_PER_PASS = 1_000
 _LTV = "current_ltv"
 _AGES = ("loan_age_q", "loan_age_q_sq")
 
@@ -38,18 +35,6 @@ def _split(hazard: Hazard, path_columns) -> tuple[list[str], list[str]]:
     return on_path, [f for f in hazard.features if f not in on_path and f != _LTV]
 
 
-def _passes(paths: DataFrame) -> Iterator[DataFrame]:
-    """Whole scenarios in groups of bounded size, found by a count of the scenario names."""
-    scenarios = paths.select("scenario").distinct().count()
-    groups = max(1, math.ceil(scenarios / SCENARIOS_PER_PASS))
-    if groups == 1:
-        yield paths
-        return
-    groups *= 2  # hash groups vary in size
-    for group in range(groups):
-        yield paths.where(F.pmod(F.xxhash64("scenario"), F.lit(groups)) == group)
-
-
 def roll_forward(
     book: DataFrame,
     paths: DataFrame,
@@ -97,35 +82,35 @@ def roll_forward(
     carried = book.withColumn("loan_part", _known(loan_part)).withColumn("prepay_loan", _known(prepay_loan))
     carried = carried.withColumn("ltv_known", _known(F.col("oltv").cast("double")))
 
-    def one_pass(part: DataFrame) -> DataFrame:
-        at = [
-            _known(F.max(F.when(F.col("quarter_index") == t, F.col(name)))).alias(f"{short}_{t}")
-            for t in quarters
-            for name, short in (("path_part", "zd"), ("price_ratio", "pr"), ("prepay_part", "zp"))
-        ]
-        flat = part.groupBy("scenario").agg(*at)
-        rows = flat.agg(F.collect_list(F.struct("*")).alias("rows"))
-        wide = carried.select("*", F.inline(rows.scalar())).withColumn("surv_0", F.lit(1.0))
-        for t in quarters:
-            ltv = F.least(F.col("ltv_known") * F.col(f"pr_{t}"), F.lit(LTV_CAP))
-            hazard = sigmoid_of_negative(F.col("loan_part") + F.col(f"zd_{t}") + ltv_weight * ltv)
-            leaving = (
-                sigmoid_of_negative(F.col("prepay_loan") + F.col(f"zp_{t}"))
-                if isinstance(prepay, Hazard)
-                else F.col("prepay_loan")
-            )
-            wide = wide.withColumn(f"haz_{t}", hazard).withColumn(
-                f"surv_{t}",
-                F.col(f"surv_{t - 1}") * F.greatest(F.lit(1.0) - F.col(f"haz_{t}") - leaving, F.lit(0.0)),
-            )
-        return wide.select(
-            *book.columns,
-            "scenario",
-            *[(F.col(f"surv_{t - 1}") * F.col(f"haz_{t}")).alias(f"def_{t}") for t in quarters],
-            *[F.col(f"surv_{t}") for t in quarters],
+    at = [
+        _known(F.max(F.when(F.col("quarter_index") == t, F.col(name)))).alias(f"{short}_{t}")
+        for t in quarters
+        for name, short in (("path_part", "zd"), ("price_ratio", "pr"), ("prepay_part", "zp"))
+    ]
+    flat = points.groupBy("scenario").agg(*at)
+    # A few numbers for each scenario, whatever the size of the book.
+    rows = flat.agg(F.collect_list(F.struct("*")).alias("rows"))
+    wide = carried.select("*", F.inline(rows.scalar())).withColumn("surv_0", F.lit(1.0))
+    for t in quarters:
+        moved = F.col("ltv_known") * F.col(f"pr_{t}")
+        # ``least`` takes NaN for the largest number and would hide a hole in the prices behind the cap.
+        ltv = F.when(F.isnan(moved), moved).otherwise(F.least(moved, F.lit(LTV_CAP)))
+        hazard = sigmoid_of_negative(F.col("loan_part") + F.col(f"zd_{t}") + ltv_weight * ltv)
+        leaving = (
+            sigmoid_of_negative(F.col("prepay_loan") + F.col(f"zp_{t}"))
+            if isinstance(prepay, Hazard)
+            else F.col("prepay_loan")
         )
-
-    return reduce(DataFrame.unionByName, [one_pass(part) for part in _passes(points)])
+        left = F.lit(1.0) - F.col(f"haz_{t}") - leaving
+        wide = wide.withColumn(f"haz_{t}", hazard).withColumn(
+            f"surv_{t}", F.col(f"surv_{t - 1}") * F.greatest(left, F.lit(0.0))
+        )
+    return wide.select(
+        *book.columns,
+        "scenario",
+        *[(F.col(f"surv_{t - 1}") * F.col(f"haz_{t}")).alias(f"def_{t}") for t in quarters],
+        *[F.col(f"surv_{t}") for t in quarters],
+    )
 
 
 def loan_quarter_path(rolled: DataFrame, keep: list[str], horizon: int = HORIZON_Q) -> DataFrame:

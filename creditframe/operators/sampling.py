@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditframe.functions.scalars import key_fraction
-from creditframe.operators.sizing import broadcast_if_small
 
 
 def sample_by_key(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
@@ -18,21 +17,16 @@ def sample_by_key(df: DataFrame, key: str, fraction: float, seed: int = 42) -> D
     return df.where(key_fraction(F.col(key), seed) < F.lit(fraction))
 
 
-def keep_keys(df: DataFrame, keys: DataFrame, key: str, salts: int = 8) -> DataFrame:
+def keep_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``keys``, for a key list that is no function of the key.
 
-    A short key list is broadcast. Otherwise the rows of one key are spread over ``salts`` partitions
-    by a hash of the whole row and every key is repeated once per salt, so a key that holds a large
-    share of the rows does not land in one task. A row hash, unlike a random number, is the same when
-    a lost task is run again.
+    Spark broadcasts the list where it turns out short at run time. Else both sides are shuffled by the
+    key and a hash of it; as that serves this join alone, the partitions of a key that holds a large
+    share of the rows are split by size at run time.
     """
-    wanted = keys.select(key).distinct()
-    small = broadcast_if_small(wanted)
-    if small is not wanted:
-        return df.join(small, on=key, how="left_semi")
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-    spread = wanted.withColumn("_salt", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
-    return salted.join(spread, on=[key, "_salt"], how="left_semi").select(*df.columns)
+    spread = F.xxhash64(key, F.lit("keep")).alias("_spread")
+    wanted = keys.select(key).distinct().select(key, spread)
+    return df.select("*", spread).join(wanted, on=[key, "_spread"], how="left_semi").select(*df.columns)
 
 
 def first_n_by_hash(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

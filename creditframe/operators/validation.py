@@ -77,7 +77,10 @@ def rank_table(
     ranked = cut.select(
         "*", *[F.coalesce(F.sum(name).over(inside), F.lit(0)).alias(f"{name}_in") for name in names]
     )
-    return ranked.join(offsets, [*keys, "bucket"]).select(
+    # A group may be NULL.
+    named = offsets.select([F.col(c).alias(f"_{c}") if c in (*keys, "bucket") else F.col(c) for c in offsets.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*keys, "bucket")]
+    return ranked.join(named, same).select(
         *keys,
         "score",
         (F.col("pos") + F.col("neg")).alias("n"),

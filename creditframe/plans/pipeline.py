@@ -17,21 +17,21 @@ from creditframe.operators.target import LOAN, loan_target, performance_summary
 from creditframe.plans import scenarios
 from creditframe.sources import files, sinks
 
-# Fixed value: share of the loans a load keeps unless told otherwise.
-LOAN_SAMPLE_FRACTION = 0.05
 MACRO_SCHEMA = (
     "quarter string, unemployment_rate double, mortgage_rate double, gdp_growth double, hpi double, hpi_yoy double"
 )
 
 
-def load(spark: SparkSession, raw: str, tables: str, fraction: float = LOAN_SAMPLE_FRACTION, layout: str | None = None) -> None:
-    """Raw files to typed tables, sampled by loan and partitioned by vintage.
+def load(spark: SparkSession, raw: str, tables: str, fraction: float | None = None, layout: str | None = None) -> None:
+    """Raw files to typed tables, partitioned by vintage: all loans, or the given fraction of them.
 
     Sampling is a filter on the loan key in both tables, so nothing is joined or shuffled.
     """
     layout = layout or files.detect_layout(spark, raw)
     for name, read in (("origination", files.read_loans), ("performance", files.read_performance)):
-        sinks.write_by_vintage(sampling.sample_by_key(read(spark, raw, layout), LOAN, fraction), f"{tables}/{name}")
+        rows = read(spark, raw, layout)
+        kept = rows if fraction is None else sampling.sample_by_key(rows, LOAN, fraction)
+        sinks.write_by_vintage(kept, f"{tables}/{name}")
 
 
 def table(spark: SparkSession, tables: str, name: str) -> DataFrame:

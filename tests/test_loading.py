@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from creditframe.operators import sampling, sizing
+from creditframe.operators import sampling
 from creditframe.sources import files, layouts, sinks
 
 
@@ -83,12 +83,11 @@ def test_sampling_keeps_whole_histories(spark):
     assert sampling.first_n_by_hash(loans, "k", 10).collect() == sampling.first_n_by_hash(loans.repartition(3), "k", 10).collect()
 
 
-def test_a_hot_key_is_spread_and_no_row_is_lost(spark, monkeypatch):
-    monkeypatch.setattr(sizing, "MAX_SMALL_ROWS", 5)
+def test_a_hot_key_is_spread_and_no_row_is_lost(spark):
     rows = spark.range(9000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id % 500 END AS k", "id % 7 AS v")
     keys = spark.range(0, 100).selectExpr("id - 1 AS k").union(spark.range(0, 100).selectExpr("id - 1 AS k"))
     kept = sampling.keep_keys(rows, keys, "k")
-    assert "_salt" in kept._jdf.queryExecution().optimizedPlan().toString() and kept.columns == ["k", "v"]
+    assert "_spread" in kept._jdf.queryExecution().optimizedPlan().toString() and kept.columns == ["k", "v"]
     expected = rows.where("k < 99")
     assert kept.count() == expected.count() and kept.exceptAll(expected).count() == 0
 

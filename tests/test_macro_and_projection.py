@@ -76,11 +76,18 @@ def test_survival_never_rises_and_nothing_is_lost(spark, book):
         assert sum(r[f"def_{t}"] for t in range(1, 14)) + survival[-1] <= 1 + 1e-12
 
 
-def test_many_scenarios_take_more_passes_with_the_same_result(spark, book, monkeypatch):
-    paths = scenarios.shock_paths(spark, [5.0, 9.0], [0.0, 10.0, 20.0])
-    whole = sorted(projection.roll_forward(book, paths).collect())
-    monkeypatch.setattr(projection, "SCENARIOS_PER_PASS", 2)
-    assert sorted(projection.roll_forward(book, paths).collect()) == whole
+def test_scenarios_do_not_depend_on_each_other(spark, book):
+    grid = scenarios.shock_paths(spark, [5.0, 9.0], [0.0, 10.0, 20.0])
+    whole = sorted(projection.roll_forward(book, grid).where("scenario = '9.0/10.0'").collect())
+    assert sorted(projection.roll_forward(book, grid.where("scenario = '9.0/10.0'")).collect()) == whole
+
+
+def test_a_hole_in_the_prices_shows(spark, book):
+    paths = scenarios.scenario_paths(spark)
+    for hole in (F.lit(None).cast("double"), F.lit(0.0)):
+        holed = paths.withColumn("hpi", F.when(F.col("quarter_index") == 4, hole).otherwise(F.col("hpi")))
+        row = projection.roll_forward(book, holed).first()
+        assert not math.isnan(row.def_3) and math.isnan(row.def_4)
 
 
 def test_a_hole_in_a_path_shows(spark, book):

@@ -95,3 +95,22 @@ def test_scorecard_values_and_reasons(spark):
     assert np.isclose(rows[2].pd, 1 / (1 + np.exp(-z))) and rows[2].colour == "red"
     assert [x.reason for x in rows[2].reasons] == ["Recent repayment status", "Credit limit", "Age"]
     assert [x.direction for x in rows[2].reasons] == ["raises", "raises", "lowers"]
+
+
+def test_a_constant_feature_does_not_stop_scoring(spark):
+    df = spark.createDataFrame([(1.0, float(i % 7), i % 2) for i in range(200)], "a double, b double, t int")
+    hazard = pd_models.hazard_parameters(pd_models.fit_hazard(df, "t", ["a", "b"]), ["a", "b"])
+    assert hazard.scale["a"] == 1.0 and hazard.coef["a"] == 0.0
+    assert 0 < df.select(hazard.score().alias("p")).first().p < 1
+
+
+def test_one_class_can_be_fitted(loans):
+    model = pd_models.fit_logit(loans.where("default_flag = 0"))
+    assert model.score(loans).agg(F.max("pd")).first()[0] < 0.5
+
+
+def test_many_categories_can_be_fitted(loans):
+    wide = loans.withColumn("property_state", F.concat(F.lit("s"), F.pmod(F.xxhash64("loan_sequence_number"), F.lit(90)).cast("string")))
+    wide = wide.unionByName(wide).unionByName(wide).unionByName(wide)
+    model = pd_models.fit_boosted(wide, trees=1)
+    assert model.score(loans.limit(5)).count() == 5

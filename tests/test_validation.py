@@ -110,3 +110,10 @@ def test_subgroups(spark):
     got = {r.g: r for r in validation.subgroup_outcomes(df, "y", "s", "g", 0.5).collect()}
     assert got["m"].true_positive_rate == 1 and got["m"].false_positive_rate == 0.5
     assert got["f"].true_positive_rate == 0 and got["f"].false_positive_rate is None
+
+
+def test_null_groups_are_groups(spark):
+    rows = [(["a", "b", None][k % 3], k % 2, (k * 37 % 100) / 100) for k in range(300)]
+    df = spark.createDataFrame(rows, "g string, y int, s double")
+    got = {r.g: r.n for r in validation.rank_metrics(df, "y", "s", by="g").collect()}
+    assert got == {"a": 100, "b": 100, None: 100}
