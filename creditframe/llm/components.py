@@ -33,7 +33,7 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     edges = edges.checkpoint()
     state = None
     while True:
-        edges = _star(_star(edges, True), False).distinct().checkpoint()
+        edges = _star(_star(edges, True).checkpoint(), False).distinct().checkpoint()
         found = edges.agg(F.count("*"), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))).first()
         if found == state:
             break
