@@ -22,6 +22,14 @@ def _star(edges: DataFrame, both_ways: bool) -> DataFrame:
     return moved.where("high != low")
 
 
+def _is_done(edges: DataFrame) -> bool:
+    """Whether every node has one link, to a node without any."""
+    ends = edges.select(F.col("high").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(edges.select("low", F.lit(0), F.lit(1)))
+    open_ = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1 and up > 0")
+    return open_.agg(F.count("*")).first()[0] == 0
+
+
 def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     """``node`` and its ``component``, the smallest node it is linked with, for every node that has a link.
 
@@ -29,14 +37,10 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     the longest path. The links of a node are never gathered in one place.
     """
     ensure_checkpoint_dir(links.sparkSession)
-    edges = links.select(F.greatest(a, b).alias("high"), F.least(a, b).alias("low")).where("high != low").distinct()
-    edges = edges.checkpoint()
-    state = None
+    edges = links.select(F.greatest(a, b).alias("high"), F.least(a, b).alias("low")).where("high != low")
     while True:
         edges = _star(_star(edges, True).checkpoint(), False).distinct().checkpoint()
-        found = edges.agg(F.count("*"), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))).first()
-        if found == state:
+        if _is_done(edges):
             break
-        state = found
     nodes = edges.select(F.col("high").alias("node"), F.col("low").alias("component"))
     return nodes.union(edges.select("low", "low").distinct())

@@ -273,11 +273,17 @@ def near_duplicates(
     rows = rows.repartition(n, "key", "b1", "b2").sortWithinPartitions("key", "b1", "b2")
     crossed = rows.mapInArrow(_cross_pairs(percent), "a long, b long")
     more = _confirmed(texts, crossed, width, percent)
-    found = connected_components(links.union(more), "a", "b")
+    names = found.toDF("id", "component")
+    for side in ("a", "b"):
+        more = more.join(names.withColumnRenamed("id", side), side, "left")
+        more = more.withColumn(side, F.coalesce("component", side)).drop("component")
+    joined = connected_components(more, "a", "b").toDF("component", "joined")
 
     # Back to the documents.
-    member = _rows.hot_join(member.select("doc_id", "id").distinct(), found.toDF("id", "component"), ["id"], "left")
-    member = member.groupBy("doc_id").agg(F.min(F.coalesce("component", "id")).alias("component_id"))
+    member = _rows.hot_join(member.select("doc_id", "id").distinct(), names, ["id"], "left")
+    member = member.withColumn("component", F.coalesce("component", "id"))
+    member = _rows.hot_join(member, joined, ["component"], "left")
+    member = member.groupBy("doc_id").agg(F.min(F.coalesce("joined", "component")).alias("component_id"))
     out = features.select("doc_id", "n_shingles").join(member, "doc_id", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
