@@ -1,11 +1,11 @@
-"""Removal of lines that many documents share, behind two Bloom filters.
+"""Removal of lines that many documents share, behind a Bloom filter.
 
 A line's key is the line without ASCII white space at its ends and with A-Z in lower case. Keys of enough
 characters that occur in enough documents lose all their lines except in the document of the largest id.
 
 1. Each task sends the 64-bit hashes of its keys, each at most twice, to tasks that split the hashes among
-   them. There every hash passes two Bloom filters: one of hashes met once, one of hashes met twice. What
-   the first already holds is suspected and, once only, marked in the bitmap below.
+   them. There every hash passes a Bloom filter of the hashes met before. What it already holds is suspected
+   and marked in the bitmap below; a false positive only marks more.
 2. The suspected hashes are folded into one bitmap of fixed size, which is the only thing that is
    collected and broadcast. More repeats than it was made for only let more lines through to step 3; it
    never loses one.
@@ -14,7 +14,7 @@ characters that occur in enough documents lose all their lines except in the doc
    in a third of all documents is one row per task.
 4. The repeated keys return to their documents, as 128-bit digests per document, and the lines go.
 
-The filters grow with the corpus, as hashes are split over tasks; none is held whole.
+The filter grows with the corpus, as hashes are split over tasks; it is never held whole.
 
 Edge cases: a null or empty text is one empty line and stays as it is; a key repeated within a document
 counts once; rows of equal id are one document, whose lines go or stay together; an empty table gives no
@@ -121,8 +121,8 @@ def _spread(min_chars: int):
 
 
 def _suspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The hashes met at least twice, as places of the bitmap, each about once."""
-    once, twice = Filter(), Filter()
+    """The hashes met at least twice; left out is only what has its place of the bitmap marked by a task's earlier one."""
+    once, sent = Filter(), np.zeros(SUSPECT_BITS // 64, np.uint64)
     for batch in batches:
         hashes = batch.column(0).to_numpy().view(np.uint64)
         for first in range(0, len(hashes), 1 << 16):
@@ -130,8 +130,9 @@ def _suspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             met = once.holds(different)
             once.add(different[~met])
             again = different[met | (counts > 1)]
-            again = again[~twice.holds(again)]
-            twice.add(again)
+            again = again[~_rows.marked(sent, again)]
+            at = again & np.uint64(SUSPECT_BITS - 1)
+            np.bitwise_or.at(sent, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
             yield pa.RecordBatch.from_arrays([pa.array(again.view(np.int64))], names=["hash"])
 
 

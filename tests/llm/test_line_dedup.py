@@ -2,6 +2,7 @@ import hashlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from checks import compare
@@ -75,6 +76,15 @@ def test_filter_loses_nothing():
     assert own.holds(hashes[100_000:]).mean() < 0.05
 
 
+def test_false_positives_hide_no_repeated_key(monkeypatch):
+    monkeypatch.setattr(line_dedup, "Filter", lambda own=line_dedup.Filter: own(1 << 6))
+    hashes = np.random.default_rng(3).integers(-(2**63), 2**63, 100_000)
+    batches = [pa.RecordBatch.from_arrays([pa.array(hashes)], names=["hash"])] * 2
+    found = np.concatenate([b.column(0).to_numpy() for b in line_dedup._suspect(iter(batches))])
+    place = line_dedup.SUSPECT_BITS - 1
+    assert np.isin(hashes & place, found & place).all()
+
+
 def test_whole_table_equals_sql(spark):
     d = "/root/testdata/sf0.001"
     left = compare.spark_rows(queries.REGISTRY["op1_line_dedup"](spark, d))
