@@ -13,7 +13,7 @@ number of such blocks and its phrases are summed.
 
 The labelled sample is the only thing that reaches the driver, and its bound is ``total_chars``, shared
 equally by the languages: about ``rows_per_lang`` rows of each are chosen by a hash of their id, and of
-these at most the characters its share allows. Every text is then predicted from its characters alone.
+these at most the characters its share allows; a language that has fewer shortens no other's. Every text is then predicted from its characters alone.
 
 Edge cases: a null text or one without a letter gets ``und`` and score 0; without any labelled row all
 texts get ``und``; ties go to the language that sorts first; repeated rows are predicted alike; an empty
@@ -52,7 +52,7 @@ class Model:
     classes: np.ndarray  # symbol of each code point
     table: np.ndarray  # states x symbols
     roots: np.ndarray
-    bits: np.ndarray  # of a phrase: log2 of the sample's size
+    bits: np.ndarray  # of a phrase: log2 of the sample's size and the symbols, for it is found in the one or spelt with the others
 
     @property
     def width(self) -> int:
@@ -60,10 +60,10 @@ class Model:
 
 
 def fit(samples: dict[str, list[str]], total_chars: int) -> Model:
-    """The model of the given texts; each language uses the same number of characters at most."""
+    """The model of the given texts; each language uses its share of the characters at most, a shorter one all it has."""
     langs = sorted(samples)
     cleaned = {x: _OTHERS.sub(" ", " ".join(samples[x]).lower()) for x in langs}
-    share = min([total_chars // max(len(langs), 1), *map(len, cleaned.values())])
+    share = total_chars // max(len(langs), 1)
     texts = {x: cleaned[x][:share] for x in langs}
     points, counts = np.unique(np.array([ord(c) for x in langs for c in texts[x] if c != " "], np.int64), return_counts=True)
     alphabet = np.sort(points[np.argsort(-counts, kind="stable")[: SYMBOLS - 3]])
@@ -88,7 +88,7 @@ def fit(samples: dict[str, list[str]], total_chars: int) -> Model:
         own[:, 0] = base + np.arange(len(steps))
         tables.append(own.astype(np.int32) if base + len(steps) < 1 << 29 else own)
         roots.append(base)
-        bits.append(np.log2(max(len(texts[lang]), 2)))
+        bits.append(np.log2(len(texts[lang]) + width))
         base += len(steps)
     table = np.concatenate(tables) if tables else np.zeros((0, width), np.int32)
     return Model(langs, classes, table, np.array(roots, np.int64), np.array(bits))
@@ -144,7 +144,9 @@ def predict(model: Model, texts: list[str]) -> tuple[list[str], list[float]]:
     symbols = [symbols_of(model, t) for t in texts]
     letters = [bool((x != 2).any()) for x in symbols]
     lengths = np.array([max(len(x), 1) for x in symbols], float)
-    entropy = phrases(model, symbols) * model.bits / lengths[:, None]  # bits a character
+    counts = phrases(model, symbols)
+    even = (counts == counts[:, :1]).all(1, keepdims=True)  # a smaller sample is no evidence by itself
+    entropy = counts * np.where(even, model.bits.max(), model.bits) / lengths[:, None]  # bits a character
     best = entropy.argmin(1)
     ahead = np.exp2(-8 * (entropy - entropy.min(1, keepdims=True)))
     scores = 1 / ahead.sum(1)

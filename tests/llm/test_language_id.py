@@ -50,6 +50,19 @@ def test_edge_cases(spark):
     assert all(0 <= s <= 1 for s in got.values())
 
 
+def test_rare_languages_leave_the_others_their_text(spark):
+    rnd = random.Random(8)
+    vocabularies = {x: ["".join(rnd.choice("aeinorstl") for _ in range(rnd.randint(3, 7))) for _ in range(80)] for x in ("aa", "bb")}
+    rows = [(200 * k + i, " ".join(rnd.choices(v, k=30)), x, None, None) for k, (x, v) in enumerate(vocabularies.items()) for i in range(60)]
+    rows += [(1000, "e", "r1", None, None), (1001, "tan sol", "r2", None, None), (1002, "12345", "r3", None, None), (1003, "日本語 日本", None, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    learnable = (F.col("doc_id") % 3 != 1) | (F.col("doc_id") >= 1000)
+    got = {r.doc_id: r for r in li.identify(df, learnable).collect()}
+    held_out = [r for r in rows if r[0] % 3 == 1 and r[0] < 1000]
+    assert len(held_out) == 40 and all(got[r[0]].lang_pred == r[2] for r in held_out)
+    assert (got[1003].lang_pred, got[1003].score) == ("aa", 0.2)
+
+
 def test_nothing_to_learn(spark):
     df = spark.createDataFrame([(1, "abc", None, None, None)], SCHEMA)
     assert [r.lang_pred for r in li.identify(df, F.lit(True)).collect()] == ["und"]
