@@ -19,8 +19,8 @@ confirmed: ``100 * intersection >= percent * union`` on the full sets, made anew
 documents alone. A bitmap of fixed size tells the scan which texts those are.
 
 Edge cases: a text of fewer words is one shingle, its whole sequence; a null text or one without words has
-an empty set, no links and itself as component; rows of equal id are versions of one document, linked
-with each other; an empty table gives no rows; very long texts are sets like others.
+an empty set, no links and itself as component; rows without an id have no links, component or ``kept``;
+rows of equal id are versions of one document, linked with each other; an empty table gives no rows; very long texts are sets like others.
 """
 
 from __future__ import annotations
@@ -206,7 +206,7 @@ def _confirmed(documents: DataFrame, pairs: DataFrame, width: int, percent: int)
                 [rows.column(0), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))], names=["id", "set"]
             )
 
-    sets = documents.mapInArrow(run, "id long, set array<long>")
+    sets = documents.where("doc_id is not null").mapInArrow(run, "id long, set array<long>")
     joined = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
     both = F.size(F.array_intersect("set_a", "set_b"))
     either = F.size("set_a") + F.size("set_b") - both

@@ -93,6 +93,18 @@ def test_versions_of_one_document(spark):
     assert {r.component_id for r in near_dedup.near_duplicates(df).collect()} == {3}
 
 
+def test_rows_without_id_beside_near_copies(spark):
+    rows = made_up(9, [6, 3, 1])
+    unnamed = [(None, rows[0][1]), (None, rows[0][1]), (None, None)]
+    df = spark.createDataFrame(rows + unnamed, "doc_id long, text string").repartition(2)
+    found = [tuple(r) for r in near_dedup.near_duplicates(df).collect()]
+    assert sorted(r for r in found if r[0] is not None) == brute(rows)
+    n = len(shingles(rows[0][1], 4))
+    assert sorted(r[1:] for r in found if r[0] is None) == [(0, None, None), (n, None, None), (n, None, None)]
+    kept = [tuple(r) for r in near_dedup.keep_one(df).collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, [rows[r[0]] for r in brute(rows) if r[3]] + unnamed))
+
+
 def test_empty_table(spark):
     assert near_dedup.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

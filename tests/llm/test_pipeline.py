@@ -96,3 +96,17 @@ def test_strange_rows(spark, tmp_path):
     spark.createDataFrame([], schema).write.parquet(f"{empty}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{empty}/benchmark.parquet")
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_rows_without_id_beside_near_copies(spark, tmp_path):
+    words = [f"word{k}" for k in range(300)]
+    texts = [" ".join([*words[:299], f"own{i}"]) for i in range(6)]
+    rows = [(i, t, "en", "a", len(t)) for i, t in enumerate(texts)] + [(None, t, "en", "a", len(t)) for t in texts[:2]]
+    folder = str(tmp_path)
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, folder)
+    assert sorted((r.doc_id for r in docs.collect()), key=str) == [0, None, None]
+    assert {0} <= {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()}
