@@ -114,3 +114,21 @@ def test_many_categories_can_be_fitted(loans):
     wide = wide.unionByName(wide).unionByName(wide).unionByName(wide)
     model = pd_models.fit_boosted(wide, trees=1)
     assert model.score(loans.limit(5)).count() == 5
+
+
+def test_registered_queries_fit_all_trees(monkeypatch):
+    class Reached(Exception):
+        pass
+
+    given = []
+    monkeypatch.setattr(queries, "split_view", lambda spark, d, name: None)
+    monkeypatch.setattr(pd_models, "fit_boosted", lambda train, trees=400, seed=42: given.append(trees) or stop())
+    monkeypatch.setattr(pd_models, "calibrate", lambda train, folds=3, trees=400, seed=42: given.append(trees) or stop())
+
+    def stop():
+        raise Reached
+
+    for name in ("boosted_train_test_metrics", "calibrated_test_reliability"):
+        with pytest.raises(Reached):
+            queries.REGISTRY[name](None, "")
+    assert given == [400, 400]
