@@ -286,7 +286,7 @@ def score_documents(
                 sums, (p, starts, ends, first) = tagger.sums(data, offsets)
                 scores = 1 - np.exp(-shared.value.rate * sums)
                 raw = data.tobytes()
-                for k in np.flatnonzero(scores > 0.5).tolist():
+                for k in np.unique(np.searchsorted(first, np.flatnonzero(p >= 0.5), "right") - 1).tolist():
                     own = slice(first[k], first[k + 1])
                     spans[k] = _spans(raw, int(offsets[k]), p[own], starts[own], ends[own])
             yield pa.RecordBatch.from_arrays(

@@ -69,6 +69,17 @@ def test_made_up_words(made_up):
     assert [(s.start, s.end) for s in rest[2].spans] == [(0, 7), (10, 17), (20, 27)]
 
 
+def test_one_toxic_word_has_its_span(spark, monkeypatch):
+    sure = toxicity.Field({"wgrobble": 40.0}, -10.0, np.zeros((2, 2)), rate=0.5)
+    monkeypatch.setattr(toxicity, "train", lambda *_: sure)
+    rows = [(1, "lorem"), (2, None), (3, "é grobble ipsum"), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.score_documents(docs, labels, F.lit(True)).collect()}
+    assert got[3].score < 0.5 and [(s.start, s.end) for s in got[3].spans] == [(2, 9)]
+    assert not any(got[k].spans for k in (1, 2, 4))
+
+
 def test_nothing_to_learn(spark, made_up):
     docs, labels = made_up
     for own in (labels.limit(0), labels.where("toxic = 0")):
