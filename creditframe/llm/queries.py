@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditframe.llm import decontaminate, html_extract, language_id, licenses, line_dedup, near_dedup, packing, quality, suffix_dedup, toxicity
+from creditframe.llm import decontaminate, filter_audit, html_extract, language_id, licenses, line_dedup, near_dedup, packing, quality, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -93,6 +93,11 @@ def op10_packing(spark, d):
     return packing.pack(table(spark, d, "documents"), tokenizer_path())
 
 
+@register
+def op13_filter_audit(spark, d):
+    return filter_audit.audit(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 def oracle_sql() -> dict[str, str]:
     from creditframe.llm import sql
 

@@ -48,3 +48,62 @@ SELECT doc_id, count(item_id) AS n_items,
        coalesce(string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id), '') AS item_ids
 FROM documents LEFT JOIN links USING (doc_id) GROUP BY doc_id
 """
+
+# Fail bits of every document, then every (part, order, step) counted over them; orders as all
+# arrangements of five letters, a filter's fails as a letter in a string per document.
+ORACLES["op13_filter_audit"] = """
+WITH docs AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+),
+measured AS (
+    SELECT doc_id, part, t, regexp_extract_all(t, '[^\\x09-\\x0D\\x20]+') AS w,
+           coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false) AS e
+    FROM docs
+),
+marks AS (
+    SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+    FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+),
+fails AS (
+    SELECT part,
+           CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+           || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+           || CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) THEN 'C' ELSE '' END
+           || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+           || CASE WHEN e THEN 'E' ELSE '' END AS f,
+           coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+    FROM measured LEFT JOIN marks USING (doc_id)
+),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE a.x NOT IN (b.x, c.x, d.x, e.x) AND b.x NOT IN (c.x, d.x, e.x) AND c.x NOT IN (d.x, e.x) AND d.x != e.x
+),
+steps AS (
+    SELECT filter_order, step, substr(filter_order, step, 1) AS letter, substr(filter_order, 1, step - 1) AS before
+    FROM orders, (SELECT unnest(range(1, 6)) AS step)
+),
+judged AS (
+    SELECT part, filter_order, step, letter, good, toxic,
+           contains(f, letter) AS fails_here,
+           NOT regexp_matches(f, '[' || before || letter || ']') AS kept_after,
+           CASE WHEN before = '' THEN true ELSE NOT regexp_matches(f, '[' || before || ']') END AS passed_before,
+           f = letter AS alone
+    FROM fails, steps
+),
+counted AS (
+    SELECT part, filter_order, step, letter,
+           count(*) FILTER (WHERE kept_after) AS kept,
+           count(*) FILTER (WHERE fails_here AND passed_before) AS removed,
+           count(*) FILTER (WHERE fails_here AND NOT passed_before) AS redundant,
+           count(*) FILTER (WHERE alone) AS unique_fails,
+           coalesce(sum(good) FILTER (WHERE fails_here AND passed_before), 0) AS good_lost,
+           coalesce(sum(toxic) FILTER (WHERE fails_here AND passed_before), 0) AS toxic_lost
+    FROM judged GROUP BY part, filter_order, step, letter
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM counted
+"""
