@@ -107,3 +107,46 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redunda
        CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
 FROM counted
 """
+
+# Five rounds of exact integer k-means, unrolled: every vector against every centroid, the nearest by
+# (distance, number), new centroids by floor division of componentwise sums, empty ones kept.
+_DISTANCE = "list_sum(list_transform(range(1, 65), lambda i: (k.p[i] - {c}.p[i]) * (k.p[i] - {c}.p[i])))"
+_ROUND = """
+near{n} AS (
+    SELECT k.r, arg_min(c.c, [{d}, c.c]) AS c FROM kept k, centres{n} c GROUP BY k.r
+),
+moved{n} AS (
+    SELECT c, list(v ORDER BY i) AS p FROM (
+        SELECT near{n}.c, i, CAST(floor(sum(k.p[i]) / count(*)) AS BIGINT) AS v
+        FROM near{n} JOIN kept k USING (r), (SELECT unnest(range(1, 65)) AS i) GROUP BY near{n}.c, i
+    ) GROUP BY c
+),
+centres{m} AS (
+    SELECT c.c, coalesce(m.p, c.p) AS p FROM centres{n} c LEFT JOIN moved{n} m USING (c)
+),"""
+ORACLES["op12_centroids"] = (
+    """
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS p
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) = 64
+      AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+),
+centres0 AS (
+    SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR)), p) - 1 AS INTEGER) AS c, p
+    FROM kept QUALIFY c < 40
+),"""
+    + "".join(_ROUND.format(n=n, m=n + 1, d=_DISTANCE.format(c="c")) for n in range(5))
+    + """
+assigned AS (
+    SELECT k.r, k.vec_id, arg_min(f.c, [{d}, f.c]) AS cluster, min({d}) AS distance
+    FROM kept k, centres5 f GROUP BY k.r, k.vec_id
+)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(f.p, ',')) AS centroid_sha256
+FROM assigned a JOIN centres5 f ON f.c = a.cluster
+""".replace("{d}", _DISTANCE.format(c="f"))
+)
