@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditframe.llm import centroids, decontaminate, filter_audit, html_extract, language_id, licenses, line_dedup, near_dedup, packing, quality, suffix_dedup, toxicity
+from creditframe.llm import centroids, decontaminate, token_codes, filter_audit, html_extract, language_id, licenses, line_dedup, near_dedup, packing, quality, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -93,6 +93,12 @@ def op10_packing(spark, d):
     return packing.pack(table(spark, d, "documents"), tokenizer_path())
 
 
+@register
+def op11_token_codes(spark, d):
+    folder = token_codes.write(table(spark, d, "documents"), token_codes.scratch_folder(spark), tokenizer_path())
+    return token_codes.read(spark, folder)
+
+
 @register
 def op12_centroids(spark, d):
     assigned, centres = centroids.cluster(table(spark, d, "embeddings"), k=40, rounds=5)
