@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,13 +11,13 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from creditframe.functions.hazards import Hazard
 from creditframe.functions.scalars import key_fraction, round_half_up, sigmoid
+from creditframe.operators import isotonic
 from creditframe.operators.features import CATEGORICAL, NUMERIC
 from creditframe.operators.target import LOAN
 from creditframe.session import ensure_checkpoint_dir
@@ -196,16 +197,15 @@ def fit_boosted(train: DataFrame, trees: int = 400, seed: int = 42) -> PdModel:
 
 @dataclass
 class Calibrated:
-    """Mean of fold models, each corrected by the isotonic fit of its held-out fold."""
+    """Mean of fold models, each corrected by the isotonic fit (its pools) of its held-out fold."""
 
     folds: list
 
     def score(self, df: DataFrame, name: str = "pd") -> DataFrame:
         out, names = df, []
-        for i, (model, isotonic) in enumerate(self.folds):
+        for i, (model, pools) in enumerate(self.folds):
             scored = model.score(out, f"_raw_{i}")
-            isotonic = isotonic.copy().setFeaturesCol(f"_raw_{i}").setPredictionCol(f"_fold_{i}")
-            out = isotonic.transform(scored).drop(f"_raw_{i}")
+            out = scored.withColumn(f"_fold_{i}", isotonic.predict(pools, F.col(f"_raw_{i}"))).drop(f"_raw_{i}")
             names.append(f"_fold_{i}")
         mean = reduce(lambda a, b: a + b, [F.col(c) for c in names]) / F.lit(float(len(names)))
         return out.withColumn(name, mean).drop(*names)
@@ -214,20 +214,23 @@ class Calibrated:
 def calibrate(train: DataFrame, folds: int = 3, trees: int = 400, seed: int = 42) -> Calibrated:
     """Isotonic calibration over key-hashed folds.
 
-    Each fold is scored by a model that did not see it. Equal scores are folded to one weighted point
-    first; Spark's isotonic fit merges its pools on the driver.
+    Each fold is scored by a model that did not see it. The labelled rows are stored once and the fold
+    models are fitted at the same time, each from its own driver thread. The isotonic fits pool ranges
+    of scores on the executors and merge them pairwise (``isotonic.fit``).
     """
     fold = F.floor(key_fraction(F.col(LOAN), seed) * F.lit(float(folds))).cast("int")
-    labelled = train.where(F.col("default_flag").isNotNull()).withColumn("_fold", fold)
-    fitted = []
-    for i in range(folds):
+    labelled = train.where(F.col("default_flag").isNotNull()).withColumn("_fold", fold).persist()
+
+    def one(i: int):
         model = fit_boosted(labelled.where(F.col("_fold") != i).drop("_fold"), trees, seed)
         held = model.score(labelled.where(F.col("_fold") == i).drop("_fold"), "raw")
-        points = held.groupBy("raw").agg(
-            F.avg(F.col("default_flag").cast("double")).alias("label"), F.count("*").cast("double").alias("weight")
-        )
-        isotonic = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight").fit(points)
-        fitted.append((model, isotonic))
+        return model, isotonic.fit(held, "raw", "default_flag")
+
+    try:
+        with ThreadPoolExecutor(max_workers=folds) as pool:
+            fitted = list(pool.map(one, range(folds)))
+    finally:
+        labelled.unpersist()
     return Calibrated(fitted)
 
 
