@@ -539,7 +539,7 @@ def hazard_contributions(spark, d):
 
 
 def fitted_hazard(spark, d, target_name, names):
-    return pd_models.hazard_parameters(pd_models.fit_hazard(panel_view(spark, d), target_name, names), names)
+    return pd_models.fit_hazard(panel_view(spark, d), target_name, names)
 
 
 @register

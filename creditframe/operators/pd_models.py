@@ -6,6 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.clustering import KMeans
@@ -50,34 +51,54 @@ def _numeric_stages(names) -> list:
 # --- hazards ----------------------------------------------------------------------------------
 
 
-def fit_hazard(panel: DataFrame, target: str, features: list[str]) -> PipelineModel:
-    """Median impute, standardise, ridge logit with unit penalty on the summed loss.
+def fit_hazard(panel: DataFrame, target: str, features: list[str], penalty: float = 1.0, steps: int = 100, tol: float = 1e-10) -> Hazard:
+    """Median impute, standardise, ridge logit with ``penalty`` on the summed loss (not on the intercept).
 
-    Spark averages the loss over the rows, so the unit penalty becomes 1 / rows. The panel is read
-    several times (median, moments, every optimiser step), so the needed columns are cached, spilling
-    to disk.
+    Medians are exact (``percentile``), means and sample standard deviations come from one aggregate,
+    and each Newton step is one more: the gradient and the Hessian as ``(k + 1)(k + 4) / 2`` sums over
+    the rows, solved on the driver for ``k + 1`` parameters. The needed columns are cached, spilling to
+    disk, as the panel is read once a step. Rows without a label are left out; a feature without any
+    value is imputed by 0; a constant feature is scaled by 1, so it is 0 after centring and its
+    coefficient is 0.
     """
-    data = _doubles(panel.select(*features, F.col(target).cast("double").alias("label")), features).persist()
+    labelled = panel.where(F.col(target).isNotNull())
+    medians = labelled.agg(*[F.percentile(F.col(f).cast("double"), F.lit(0.5)).alias(f) for f in features]).first()
+    filled = labelled.select(
+        *[F.coalesce(F.col(f).cast("double"), F.lit(float(medians[f] or 0.0))).alias(f) for f in features],
+        F.col(target).cast("double").alias("label"),
+    )
+    moments = filled.agg(*[F.avg(f).alias(f"m_{f}") for f in features], *[F.stddev_samp(f).alias(f"s_{f}") for f in features]).first()
+    mean = {f: float(moments[f"m_{f}"] or 0.0) for f in features}
+    scale = {f: float(moments[f"s_{f}"] or 0.0) or 1.0 for f in features}
+    # The intercept and every feature that varies; a constant one keeps its coefficient at 0.
+    free = np.array([True] + [bool(moments[f"s_{f}"]) for f in features])
+    z = [(F.col(f) - F.lit(mean[f])) / F.lit(scale[f]) for f in features]
+    data = filled.select(*[c.alias(f"z{i}") for i, c in enumerate(z)], "label").persist()
+    k = len(features)
+    ridge = np.diag([0.0] + [penalty] * k)
+    w = np.zeros(k + 1)
     try:
-        rows = data.count()
-        logit = LogisticRegression(
-            featuresCol="scaled", labelCol="label", regParam=1.0 / rows, standardization=False, maxIter=200, tol=1e-8
-        )
-        return Pipeline(stages=[*_numeric_stages(features), logit]).fit(data)
+        for _ in range(steps):
+            eta = reduce(lambda a, b: a + b, [F.lit(float(w[i + 1])) * F.col(f"z{i}") for i in range(k)], F.lit(float(w[0])))
+            p = F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))
+            cols = [F.lit(1.0)] + [F.col(f"z{i}") for i in range(k)]
+            residual, curvature = p - F.col("label"), p * (F.lit(1.0) - p)
+            sums = [F.sum(residual * c).alias(f"g{i}") for i, c in enumerate(cols)]
+            sums += [F.sum(curvature * cols[i] * cols[j]).alias(f"h{i}_{j}") for i in range(k + 1) for j in range(i, k + 1)]
+            row = data.agg(*sums).first()
+            gradient = np.array([row[f"g{i}"] or 0.0 for i in range(k + 1)]) + ridge @ w
+            hessian = np.zeros((k + 1, k + 1))
+            for i in range(k + 1):
+                for j in range(i, k + 1):
+                    hessian[i, j] = hessian[j, i] = row[f"h{i}_{j}"] or 0.0
+            step = np.zeros(k + 1)
+            step[free] = np.linalg.solve((hessian + ridge)[np.ix_(free, free)], gradient[free])
+            w = w - step
+            if np.max(np.abs(step)) < tol:
+                break
     finally:
         data.unpersist()
-
-
-def hazard_parameters(model: PipelineModel, features: list[str]) -> Hazard:
-    """The fitted pipeline as plain parameters for ``Hazard.score`` and the roll-forward."""
-    scaler, logit = model.stages[2], model.stages[3]
-    return Hazard(
-        intercept=float(logit.intercept),
-        coef=dict(zip(features, map(float, logit.coefficients))),
-        mean=dict(zip(features, map(float, scaler.mean))),
-        # A constant feature is scaled to 0 in the fit; any divisor but 0 does the same here.
-        scale={name: float(std) or 1.0 for name, std in zip(features, scaler.std)},
-    )
+    return Hazard(intercept=float(w[0]), coef={f: float(w[i + 1]) for i, f in enumerate(features)}, mean=mean, scale=scale)
 
 
 def coefficient_table(spark, hazard: Hazard) -> DataFrame:

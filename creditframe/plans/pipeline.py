@@ -56,7 +56,7 @@ def stress_test(spark: SparkSession, tables: str, macro: DataFrame, out: str, co
     sinks.write_table(panel.hazard_panel(table(spark, tables, "performance"), features, macro), f"{out}/panel")
     rows = table(spark, out, "panel")
     hazards = {
-        name: pd_models.hazard_parameters(pd_models.fit_hazard(rows, f"{name}_event", inputs), inputs)
+        name: pd_models.fit_hazard(rows, f"{name}_event", inputs)
         for name, inputs in (("default", pd_models.DEFAULT_FEATURES), ("prepay", pd_models.PREPAY_FEATURES))
     }
     paths = scenarios.scenario_paths(spark)
