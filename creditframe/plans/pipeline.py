@@ -6,7 +6,7 @@ later stages read only the columns they use, and a lost executor costs no more t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from creditframe.functions.hazards import ASSUMED_LGD
@@ -15,23 +15,35 @@ from creditframe.operators import features as feat
 from creditframe.operators import loss, marts, panel, pd_models, projection, sampling, segments
 from creditframe.operators.target import LOAN, loan_target, performance_summary
 from creditframe.plans import scenarios
-from creditframe.sources import files, sinks
+from creditframe.sources import files, layouts, sinks
 
 MACRO_SCHEMA = (
     "quarter string, unemployment_rate double, mortgage_rate double, gdp_growth double, hpi double, hpi_yoy double"
 )
 
 
-def load(spark: SparkSession, raw: str, tables: str, fraction: float | None = None, layout: str | None = None) -> None:
+def load(spark: SparkSession, raw: str, tables: str, fraction: float | None = None, layout: str | None = None) -> dict[str, int]:
     """Raw files to typed tables, partitioned by vintage: all loans, or the given fraction of them.
 
-    Sampling is a filter on the loan key in both tables, so nothing is joined or shuffled.
+    Sampling is a filter on the loan key in both tables, so nothing is joined or shuffled. Lines read,
+    rejected and written are counted in the writing pass itself (``observe``) and written as the table
+    ``load_counts``; the rejected lines themselves go to ``rejected_<table>``.
     """
     layout = layout or files.detect_layout(spark, raw)
-    for name, read in (("origination", files.read_loans), ("performance", files.read_performance)):
-        rows = read(spark, raw, layout)
-        kept = rows if fraction is None else sampling.sample_by_key(rows, LOAN, fraction)
-        sinks.write_by_vintage(kept, f"{tables}/{name}")
+    counts: dict[str, int] = {}
+    for name, fields, pattern, typed in (
+        ("origination", layouts.ORIGINATION_FIELDS, layouts.FILE_PATTERNS[layout][0], files.type_loans),
+        ("performance", layouts.PERFORMANCE_FIELDS, layouts.FILE_PATTERNS[layout][1], files.type_performance),
+    ):
+        rows, watch = files.counted(spark, raw, pattern, fields, f"load_{name}")
+        kept = typed(rows) if fraction is None else sampling.sample_by_key(typed(rows), LOAN, fraction)
+        written = Observation(f"kept_{name}")
+        sinks.write_by_vintage(kept.observe(written, F.count(F.lit(1)).alias("kept")), f"{tables}/{name}")
+        seen = watch.get
+        counts |= {f"{name}_lines_read": seen["read"], f"{name}_lines_rejected": seen["rejected"], f"{name}_rows_kept": written.get["kept"]}
+        sinks.write_table(files.rejected_lines(spark, raw, pattern, fields), f"{tables}/rejected_{name}")
+    sinks.write_table(spark.createDataFrame(sorted(counts.items()), "measure string, n long"), f"{tables}/load_counts")
+    return counts
 
 
 def table(spark: SparkSession, tables: str, name: str) -> DataFrame:

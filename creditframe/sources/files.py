@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from creditframe.functions.scalars import as_double, as_int
@@ -20,12 +21,35 @@ def detect_layout(spark: SparkSession, path: str) -> str:
     return next((name for name in layouts.LAYOUT_MARKS if found[name]), "quarterly")
 
 
-def _read_text_columns(spark: SparkSession, path: str, pattern: str, fields: list[str]) -> DataFrame:
-    """Header-less pipe-delimited files, all text; a row with the wrong number of fields is left out.
+#: The raw line of a row whose number of fields is not that of the layout.
+REJECTED = "_rejected_line"
+
+
+def _parsed_lines(spark: SparkSession, path: str, pattern: str, fields: list[str]) -> DataFrame:
+    """Header-less pipe-delimited files, all text, with ``REJECTED`` set on rows of a wrong field count.
 
     Column pruning is off in the parser: with it on, rows are judged by the columns a query happens
     to use, so the same file would count differently from query to query.
     """
+    schema = T.StructType([*layouts.text_schema(fields).fields, T.StructField(REJECTED, T.StringType())])
+    return (
+        spark.read.schema(schema)
+        .option("sep", "|")
+        .option("header", "false")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", REJECTED)
+        .option("columnPruning", "false")
+        .option("pathGlobFilter", pattern)
+        .csv(path)
+    )
+
+
+def _read_text_columns(spark: SparkSession, path: str, pattern: str, fields: list[str]) -> DataFrame:
+    """The well-formed rows; ``rejected_lines`` gives the others and ``counted`` counts both.
+
+    Spark refuses a plain count over the raw-line column alone, so this reader drops malformed rows
+    in the parser; both give the same rows.
+    """
     return (
         spark.read.schema(layouts.text_schema(fields))
         .option("sep", "|")
@@ -37,6 +61,22 @@ def _read_text_columns(spark: SparkSession, path: str, pattern: str, fields: lis
     )
 
 
+def rejected_lines(spark: SparkSession, path: str, pattern: str, fields: list[str]) -> DataFrame:
+    """File and raw text of every line with a wrong number of fields."""
+    parsed = _parsed_lines(spark, path, pattern, fields)
+    # A query of the raw-line column alone is refused by Spark's reader; the first field comes along.
+    return parsed.where(F.col(REJECTED).isNotNull()).select(F.input_file_name().alias("file"), F.col(fields[0]).alias("first_field"), F.col(REJECTED).alias("line"))
+
+
+def counted(spark: SparkSession, path: str, pattern: str, fields: list[str], name: str) -> tuple[DataFrame, Observation]:
+    """Well-formed rows, with lines read and rejected counted by whatever action writes them."""
+    watch = Observation(name)
+    parsed = _parsed_lines(spark, path, pattern, fields).observe(
+        watch, F.count(F.lit(1)).alias("read"), F.count(F.col(REJECTED)).alias("rejected")
+    )
+    return parsed.where(F.col(REJECTED).isNull()).drop(REJECTED), watch
+
+
 def read_raw_loans(spark: SparkSession, path: str, layout: str | None = None) -> DataFrame:
     pattern = layouts.FILE_PATTERNS[layout or detect_layout(spark, path)][0]
     return _read_text_columns(spark, path, pattern, layouts.ORIGINATION_FIELDS)

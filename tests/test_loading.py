@@ -112,3 +112,18 @@ def test_vintage_folders_prune(spark, tmp_path):
     read = spark.read.parquet(str(tmp_path / "t")).where("vintage_part = 2017")
     assert [r.x for r in read.collect()] == [2]
     assert "PartitionFilters: [isnotnull(vintage_part" in read._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rejected_lines_are_counted_and_kept_apart(spark, folder, tmp_path_factory):
+    from creditframe.plans import pipeline
+
+    pattern, fields = layouts.FILE_PATTERNS["sample"][0], layouts.ORIGINATION_FIELDS
+    rejected = files.rejected_lines(spark, folder, pattern, fields).collect()
+    assert sorted(r.line for r in rejected) == sorted(["too|few|fields", line(fields, loan_sequence_number="F05Q10000003") + "|extra"])
+    tables = str(tmp_path_factory.mktemp("tables"))
+    counts = pipeline.load(spark, folder, tables, layout="sample")
+    assert counts["origination_lines_read"] == 4 and counts["origination_lines_rejected"] == 2 and counts["origination_rows_kept"] == 2
+    assert counts["performance_lines_read"] == 2 and counts["performance_lines_rejected"] == 1 and counts["performance_rows_kept"] == 1
+    assert spark.read.parquet(f"{tables}/rejected_performance").collect()[0].line == "broken"
+    written = {r.measure: r.n for r in spark.read.parquet(f"{tables}/load_counts").collect()}
+    assert written == counts
