@@ -599,6 +599,11 @@ def principal_components(spark, d):
     return pd_models.pca(features_view(spark, d))[0].select(LOAN, "pc1", "pc2", "pc3")
 
 
+@register
+def principal_component_variance(spark, d):
+    return pd_models.explained_variance(spark, features_view(spark, d))
+
+
 @register
 def risk_segment_profiles(spark, d):
     return pd_models.profiles(pd_models.segments(features_view(spark, d)))

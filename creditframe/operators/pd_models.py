@@ -10,9 +10,9 @@ import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -297,13 +297,46 @@ def _standardised(df: DataFrame) -> tuple[PipelineModel, DataFrame]:
     return prep, prep.transform(data)
 
 
+def standardised_columns(df: DataFrame, names=SEGMENT_FEATURES) -> dict[str, Column]:
+    """Each feature with exact median imputation, centred and divided by its sample deviation (1 if constant).
+
+    Two aggregates: the medians, then the means and deviations of the filled values.
+    """
+    medians = df.agg(*[F.percentile(F.col(f).cast("double"), F.lit(0.5)).alias(f) for f in names]).first()
+    filled = {f: F.coalesce(F.col(f).cast("double"), F.lit(float(medians[f] or 0.0))) for f in names}
+    moments = df.agg(*[F.avg(c).alias(f"m_{f}") for f, c in filled.items()], *[F.stddev_samp(c).alias(f"s_{f}") for f, c in filled.items()]).first()
+    return {f: (c - F.lit(float(moments[f"m_{f}"] or 0.0))) / F.lit(float(moments[f"s_{f}"] or 0.0) or 1.0) for f, c in filled.items()}
+
+
 def pca(df: DataFrame, k: int = 3) -> tuple[DataFrame, list[float]]:
-    """Rows with their first ``k`` principal components, and the variance each explains."""
-    _, scaled = _standardised(df)
-    model = PCA(k=k, inputCol="scaled", outputCol="components").fit(scaled)
-    parts = vector_to_array("components")
-    rows = model.transform(scaled).select(*df.columns, *[parts[i].alias(f"pc{i + 1}") for i in range(k)])
-    return rows, [float(x) for x in model.explainedVariance]
+    """Rows with their first ``k`` principal components, and the share of variance each explains.
+
+    The covariance of the standardised features is one aggregate of their cross products (a fixed
+    width of ``d (d + 1) / 2`` sums); its eigenvectors are solved on the driver, ordered by eigenvalue
+    and signed so that the largest entry of each is positive.
+    """
+    z = standardised_columns(df)
+    names = list(z)
+    d = len(names)
+    sums = df.agg(F.count(F.lit(1)).alias("n"), *[F.sum(z[names[i]] * z[names[j]]).alias(f"c{i}_{j}") for i in range(d) for j in range(i, d)]).first()
+    covariance = np.zeros((d, d))
+    for i in range(d):
+        for j in range(i, d):
+            covariance[i, j] = covariance[j, i] = (sums[f"c{i}_{j}"] or 0.0) / max(sums["n"] - 1, 1)
+    values, vectors = np.linalg.eigh(covariance)
+    order = np.argsort(-values, kind="stable")
+    values, vectors = values[order], vectors[:, order]
+    vectors *= np.where(vectors[np.abs(vectors).argmax(axis=0), range(d)] < 0, -1.0, 1.0)
+    total = values.sum()
+    components = [reduce(lambda a, b: a + b, [F.lit(float(vectors[i, c])) * z[n] for i, n in enumerate(names)]).alias(f"pc{c + 1}") for c in range(k)]
+    explained = [float(v / total) if total > 0 else 0.0 for v in values[:k]]
+    return df.select(*df.columns, *components), explained
+
+
+def explained_variance(spark, df: DataFrame, k: int = 3) -> DataFrame:
+    """One row per component: its number and the share of variance it explains."""
+    _, shares = pca(df, k)
+    return spark.createDataFrame([(c + 1, share) for c, share in enumerate(shares)], "component int, explained_variance double")
 
 
 def segments(df: DataFrame, k: int = 5, seed: int = 42, starts: int = 10) -> DataFrame:

@@ -86,6 +86,20 @@ def test_segments_and_components(spark, loans):
     assert abs(rows.agg(F.avg("pc1")).first()[0]) < 1e-9
 
 
+def test_components_equal_numpy(spark, loans):
+    rows, explained = pd_models.pca(loans, k=7)
+    found = rows.select(*[f"pc{i}" for i in range(1, 8)]).toPandas().to_numpy()
+    x = loans.select(*pd_models.SEGMENT_FEATURES).toPandas().astype(float)
+    x = x.fillna(x.median()).to_numpy()
+    z = (x - x.mean(0)) / np.where(x.std(0, ddof=1) > 0, x.std(0, ddof=1), 1.0)
+    values = np.linalg.eigvalsh(np.cov(z, rowvar=False))[::-1]
+    assert np.isclose(sum(explained), 1.0) and np.allclose(explained, values / values.sum())
+    # Component variances are the eigenvalues, components are uncorrelated, and the trace is kept.
+    assert np.allclose(found.var(0, ddof=1), values, atol=1e-8)
+    assert np.allclose(np.corrcoef(found, rowvar=False)[np.triu_indices(7, 1)], 0, atol=1e-7)
+    assert np.isclose(found.var(0, ddof=1).sum(), np.trace(np.cov(z, rowvar=False)))
+
+
 def test_scorecard_values_and_reasons(spark):
     df = spark.createDataFrame([(1, 150000.0, 35, 0, 2, 2), (2, 10000.0, 60, 8, 9, 1)], "id int, limit double, age int, pay_status int, education int, marital int")
     rows = {r.id: r for r in scorecard.reason_codes(scorecard.score_applicants(df, 0.2)).collect()}
