@@ -7,9 +7,9 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -291,12 +291,6 @@ def contributions(df: DataFrame, hazard: Hazard) -> DataFrame:
 # --- segments ---------------------------------------------------------------------------------
 
 
-def _standardised(df: DataFrame) -> tuple[PipelineModel, DataFrame]:
-    data = _doubles(df, SEGMENT_FEATURES)
-    prep = Pipeline(stages=_numeric_stages(SEGMENT_FEATURES)).fit(data)
-    return prep, prep.transform(data)
-
-
 def standardised_columns(df: DataFrame, names=SEGMENT_FEATURES) -> dict[str, Column]:
     """Each feature with exact median imputation, centred and divided by its sample deviation (1 if constant).
 
@@ -339,16 +333,83 @@ def explained_variance(spark, df: DataFrame, k: int = 3) -> DataFrame:
     return spark.createDataFrame([(c + 1, share) for c, share in enumerate(shares)], "component int, explained_variance double")
 
 
-def segments(df: DataFrame, k: int = 5, seed: int = 42, starts: int = 10) -> DataFrame:
-    """K-means on the standardised features; the best of several starts by cost."""
-    _, scaled = _standardised(df)
-    scaled = scaled.persist()
+def _nearest(z: list[Column], centres: np.ndarray) -> Column:
+    """Struct (squared distance, number) of the nearest of ``centres``; ties go to the smaller number."""
+    options = [
+        F.struct(reduce(lambda a, b: a + b, [(v - F.lit(float(c[i]))) * (v - F.lit(float(c[i]))) for i, v in enumerate(z)]).alias("d"), F.lit(j).alias("c"))
+        for j, c in enumerate(centres)
+    ]
+    return F.least(*options) if len(options) > 1 else options[0]
+
+
+def _lloyd_sums(centres: np.ndarray):
+    """Per task: for every start, each row's nearest centre, summed per (start, centre) before any shuffle."""
+    starts, k, d = centres.shape
+
+    def run(frames):
+        sums, counts, cost = np.zeros((starts, k, d)), np.zeros((starts, k), np.int64), np.zeros((starts, k))
+        for frame in frames:
+            x = frame.to_numpy(np.float64)
+            for s in range(starts):
+                distance = ((x[:, None, :] - centres[s][None, :, :]) ** 2).sum(axis=2)
+                nearest = distance.argmin(axis=1)  # ties: the smaller centre
+                np.add.at(sums[s], nearest, x)
+                counts[s] += np.bincount(nearest, minlength=k)
+                cost[s] += np.bincount(nearest, weights=distance[np.arange(len(x)), nearest], minlength=k)
+        s_index, c_index = np.nonzero(counts)
+        out = pd.DataFrame({"s": s_index, "c": c_index, "n": counts[s_index, c_index], "cost": cost[s_index, c_index]})
+        for i in range(d):
+            out[f"m{i}"] = sums[s_index, c_index, i]
+        yield out
+
+    return run
+
+
+def segments(df: DataFrame, k: int = 5, seed: int = 42, starts: int = 10, steps: int = 20, tol: float = 1e-4) -> DataFrame:
+    """K-means on the standardised features; the best of several starts by cost, all starts in one pass.
+
+    Start ``s`` seeds centre ``j`` with the row of least ``xxhash64(key, seed, s, j)``: one aggregate of
+    ``starts * k`` ``min_by`` columns. Each Lloyd step is one pass for all starts together: every task
+    finds, for each start, the nearest centre of its rows and sums them per (start, centre), so at most
+    ``starts * k`` rows a task are shuffled and collected. A start stops once no centre moves by more than
+    ``tol`` (or after ``steps``, Spark's defaults); an empty centre stays where it is. The start of least
+    total squared distance wins (ties: the smaller start). Rows are then assigned to its centres by an
+    expression over the input, so no model reaches the executors and nothing stays cached.
+    """
+    z = standardised_columns(df)
+    names = list(z)
+    d = len(names)
+    data = df.select(*[c.alias(f"_z{i}") for i, c in enumerate(z.values())], F.col(LOAN)).persist()
+    zs = [F.col(f"_z{i}") for i in range(d)]
+    step_schema = "s long, c long, n long, cost double, " + ", ".join(f"m{i} double" for i in range(d))
     try:
-        fits = [KMeans(k=k, seed=seed + i, featuresCol="scaled", predictionCol="cluster").fit(scaled) for i in range(starts)]
-        best = min(fits, key=lambda fit: fit.summary.trainingCost)
+        picks = data.agg(*[
+            F.min_by(F.array(*zs), F.xxhash64(F.col(LOAN), F.lit(seed), F.lit(s), F.lit(j))).alias(f"p{s}_{j}")
+            for s in range(starts) for j in range(k)
+        ]).first()
+        if picks is None or picks[0] is None:
+            return df.select(*df.columns, F.lit(None).cast("int").alias("cluster"))
+        centres = np.array([[picks[f"p{s}_{j}"] for j in range(k)] for s in range(starts)], np.float64)
+        moving = np.ones(starts, bool)
+        cost = np.zeros(starts)
+        for _ in range(steps + 1):
+            partial = data.select(*zs).mapInPandas(_lloyd_sums(centres), step_schema)
+            sums = partial.groupBy("s", "c").agg(*[F.sum(c).alias(c) for c in ["n", "cost", *[f"m{i}" for i in range(d)]]]).collect()
+            moved = centres.copy()
+            cost[:] = 0.0
+            for row in sums:  # at most starts * k rows
+                cost[row["s"]] += row["cost"]
+                moved[row["s"], row["c"]] = [row[f"m{i}"] / row["n"] for i in range(d)]
+            if not moving.any():
+                break  # this pass only measured the cost of the final centres
+            shift = np.sqrt(((moved - centres) ** 2).sum(axis=2)).max(axis=1)
+            centres = np.where(moving[:, None, None], moved, centres)
+            moving &= shift > tol
+            moving &= _ < steps - 1
+        best = int(min(range(starts), key=lambda s: (cost[s], s)))
     finally:
-        scaled.unpersist()
-    return best.transform(scaled).select(*df.columns, "cluster")
+        data.unpersist()
+    return df.select(*df.columns, _nearest([z[n] for n in names], centres[best]).getField("c").alias("cluster"))
 
 
 def profiles(clustered: DataFrame) -> DataFrame:

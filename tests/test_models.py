@@ -86,6 +86,19 @@ def test_segments_and_components(spark, loans):
     assert abs(rows.agg(F.avg("pc1")).first()[0]) < 1e-9
 
 
+def test_segments_are_a_fixed_point(spark, loans):
+    clustered = pd_models.segments(loans, k=4, starts=3, steps=500, tol=0.0).toPandas()  # run to convergence
+    assert len(clustered) == loans.count() and clustered["cluster"].between(0, 3).all()
+    x = loans.select(*pd_models.SEGMENT_FEATURES).toPandas().astype(float)
+    x = x.fillna(x.median()).to_numpy()
+    z = (x - x.mean(0)) / np.where(x.std(0, ddof=1) > 0, x.std(0, ddof=1), 1.0)
+    labels = clustered["cluster"].to_numpy()
+    means = np.array([z[labels == c].mean(0) if (labels == c).any() else np.full(z.shape[1], np.inf) for c in range(4)])
+    distances = ((z[:, None, :] - means[None, :, :]) ** 2).sum(2)
+    own = distances[np.arange(len(z)), labels]
+    assert (own <= distances.min(1) + 1e-3).all()  # each row is nearest to its own cluster's mean
+
+
 def test_components_equal_numpy(spark, loans):
     rows, explained = pd_models.pca(loans, k=7)
     found = rows.select(*[f"pc{i}" for i in range(1, 8)]).toPandas().to_numpy()
