@@ -182,6 +182,8 @@ SELECT k.loan_sequence_number, k.quarter_key // 4 AS cal_year, k.quarter_key % 4
 FROM kept_quarters k JOIN features f USING (loan_sequence_number) JOIN macro n ON n.quarter_key = k.quarter_key
 JOIN macro o ON o.quarter_key = f.vintage * 4 + CAST(k.loan_sequence_number[5] AS INT) - 1""")
 
+# The published default hazard (coefficient, mean, scale of each covariate, and the
+# intercept in Z) and, in the view "anchors", the published scenario anchors by series and quarter.
 COEF = {
     "loan_age_q": (0.253899, 12.23412, 11.85223),
     "loan_age_q_sq": (-0.064737, 290.149051, 557.650639),
@@ -196,25 +198,25 @@ HAZARD = f"1e0 / (1e0 + exp(-({Z})))"
 
 view("anchors", "", """
 SELECT s, var, x, CAST(v AS DOUBLE) AS v FROM (VALUES
- ('baseline', 'u', 1, 4.6), ('baseline', 'u', 3, 4.6), ('baseline', 'u', 13, 4.2),
- ('baseline', 'g', 1, 1.4), ('baseline', 'g', 5, 2.1), ('baseline', 'g', 13, 2.0),
- ('baseline', 'm', 1, 6.15), ('baseline', 'm', 11, 5.7), ('baseline', 'm', 13, 5.7),
- ('severely_adverse', 'u', 1, 5.6), ('severely_adverse', 'u', 4, 8.2), ('severely_adverse', 'u', 7, 10.0),
- ('severely_adverse', 'u', 10, 9.4), ('severely_adverse', 'u', 13, 8.6),
- ('severely_adverse', 'h', 1, 96.0), ('severely_adverse', 'h', 4, 84.0), ('severely_adverse', 'h', 8, 70.0), ('severely_adverse', 'h', 13, 71.0),
- ('severely_adverse', 'm', 1, 6.4), ('severely_adverse', 'm', 3, 6.5), ('severely_adverse', 'm', 7, 5.9), ('severely_adverse', 'm', 13, 5.4),
- ('severely_adverse', 'g', 1, -6.5), ('severely_adverse', 'g', 3, -7.5), ('severely_adverse', 'g', 6, 0.0),
- ('severely_adverse', 'g', 9, 4.0), ('severely_adverse', 'g', 13, 3.5)) a(s, var, x, v)""")
+ ('baseline', 'unemployment_rate', 1, 4.6), ('baseline', 'unemployment_rate', 3, 4.6), ('baseline', 'unemployment_rate', 13, 4.2),
+ ('baseline', 'gdp_growth', 1, 1.4), ('baseline', 'gdp_growth', 5, 2.1), ('baseline', 'gdp_growth', 13, 2.0),
+ ('baseline', 'mortgage_rate', 1, 6.15), ('baseline', 'mortgage_rate', 11, 5.7), ('baseline', 'mortgage_rate', 13, 5.7),
+ ('severely_adverse', 'unemployment_rate', 1, 5.6), ('severely_adverse', 'unemployment_rate', 4, 8.2), ('severely_adverse', 'unemployment_rate', 7, 10.0),
+ ('severely_adverse', 'unemployment_rate', 10, 9.4), ('severely_adverse', 'unemployment_rate', 13, 8.6),
+ ('severely_adverse', 'hpi', 1, 96.0), ('severely_adverse', 'hpi', 4, 84.0), ('severely_adverse', 'hpi', 8, 70.0), ('severely_adverse', 'hpi', 13, 71.0),
+ ('severely_adverse', 'mortgage_rate', 1, 6.4), ('severely_adverse', 'mortgage_rate', 3, 6.5), ('severely_adverse', 'mortgage_rate', 7, 5.9), ('severely_adverse', 'mortgage_rate', 13, 5.4),
+ ('severely_adverse', 'gdp_growth', 1, -6.5), ('severely_adverse', 'gdp_growth', 3, -7.5), ('severely_adverse', 'gdp_growth', 6, 0.0),
+ ('severely_adverse', 'gdp_growth', 9, 4.0), ('severely_adverse', 'gdp_growth', 13, 3.5)) a(s, var, x, v)""")
 BETWEEN = "CASE WHEN lx IS NULL THEN hv WHEN hx IS NULL OR hx = lx THEN lv ELSE lv + (t - lx) * (hv - lv) / (hx - lx) END"
 view("path_points", "anchors", f"""
 SELECT s, var, t, {BETWEEN} AS v
 FROM (SELECT s, var, t, max(x) FILTER (x <= t) AS lx, arg_max(v, x) FILTER (x <= t) AS lv,
              min(x) FILTER (x >= t) AS hx, arg_min(v, x) FILTER (x >= t) AS hv
       FROM anchors, range(1, 14) g(t) GROUP BY s, var, t)
-UNION ALL SELECT 'baseline', 'h', t, 100 * pow(1.02e0, t / 4e0) FROM range(1, 14) g(t)""")
+UNION ALL SELECT 'baseline', 'hpi', t, 100 * pow(1.02e0, t / 4e0) FROM range(1, 14) g(t)""")
 view("paths", "path_points", f"""
 SELECT s AS scenario, CAST(t AS INT) AS quarter_index, (2026 + (t - 1) // 4) || 'Q' || ((t - 1) % 4 + 1) AS quarter,
-       {r("max(v) FILTER (var = 'u')", 3)} AS unemployment_rate, {r("max(v) FILTER (var = 'h')", 3)} AS hpi
+       {r("max(v) FILTER (var = 'unemployment_rate')", 3)} AS unemployment_rate, {r("max(v) FILTER (var = 'hpi')", 3)} AS hpi
 FROM path_points GROUP BY s, t""")
 view("book", "features", f"""
 SELECT *, {FICO_MART} AS fico_band, {LTV_MART} AS ltv_band FROM features

@@ -177,6 +177,7 @@ def fit_logit(train: DataFrame) -> PdModel:
         OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
         VectorAssembler(inputCols=["scaled", *encoded], outputCol="features"),
         LogisticRegression(
+            # A unit penalty on the summed loss and 200 iterations.
             labelCol="label", weightCol="weight", regParam=1.0 / n, standardization=False, maxIter=200
         ),
     ]
@@ -204,6 +205,8 @@ def fit_boosted(train: DataFrame, trees: int = 400, seed: int = 42) -> PdModel:
         StringIndexer(inputCols=CATEGORICAL, outputCols=indexed, handleInvalid="keep"),
         VectorAssembler(inputCols=[*numbers, *indexed], outputCol="features"),
         GBTClassifier(
+            # The challenger's published settings (depth 5, step 0.05, row and feature shares 0.8,
+            # at least 5 rows a leaf); the tree count is the parameter ``trees`` (400).
             labelCol="label", weightCol="weight", maxIter=trees, maxDepth=5, stepSize=0.05, subsamplingRate=0.8,
             featureSubsetStrategy="0.8", minInstancesPerNode=5, maxBins=bins, seed=seed, checkpointInterval=10,
         ),
