@@ -65,8 +65,11 @@ def hazard_panel(perf: DataFrame, features: DataFrame, macro: DataFrame) -> Data
     ``features`` needs the origination columns only. ``macro`` has one row per ``quarter_key`` and is
     joined twice, at the current and at the origination quarter.
     """
-    # One row for each quarter of the calendar, however long the input is.
-    macro = F.broadcast(macro.dropDuplicates(["quarter_key"]))
+    # One row for each quarter of the calendar, however long the input is. Of several rows of one quarter
+    # the least (compared column by column) counts, so the choice is the same in every run.
+    others = [c for c in macro.columns if c != "quarter_key"]
+    one = macro.groupBy("quarter_key").agg(F.min(F.struct(*others)).alias("_row")).select("quarter_key", "_row.*")
+    macro = F.broadcast(one)
     now = macro.select(
         "quarter_key", "unemployment_rate", "hpi_yoy", "mortgage_rate", F.col("hpi").alias("hpi_now")
     )
