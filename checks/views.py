@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
-from functools import cache
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_VIEWS: dict[tuple, DataFrame] = {}
+
+
+def cache(fn):
+    """One DataFrame per view, session and folder; views of stopped sessions are let go at the next call."""
+
+    @wraps(fn)
+    def view(spark: SparkSession, sf_dir: str) -> DataFrame:
+        for key in [k for k, df in _VIEWS.items() if df.sparkSession.sparkContext._jsc is None]:
+            del _VIEWS[key]
+        key = (fn.__name__, id(spark), sf_dir)
+        if key not in _VIEWS:
+            _VIEWS[key] = fn(spark, sf_dir)
+        return _VIEWS[key]
+
+    return view
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
