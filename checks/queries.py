@@ -554,6 +554,12 @@ def prepay_hazard_coefficients(spark, d):
     return pd_models.coefficient_table(spark, hazard)
 
 
+@register
+def default_hazard_parameters(spark, d):
+    hazard = fitted_hazard(spark, d, "default_event", pd_models.DEFAULT_FEATURES)
+    return pd_models.parameter_table(spark, hazard)
+
+
 @register
 def fitted_stress_projection(spark, d):
     """Panel, both fitted hazards, roll-forward and loss in one go."""

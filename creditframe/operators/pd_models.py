@@ -101,6 +101,17 @@ def fit_hazard(panel: DataFrame, target: str, features: list[str], penalty: floa
     return Hazard(intercept=float(w[0]), coef={f: float(w[i + 1]) for i, f in enumerate(features)}, mean=mean, scale=scale)
 
 
+def parameter_table(spark, hazard: Hazard) -> DataFrame:
+    """Every parameter of a fitted hazard: the intercept, then each covariate's coefficient, mean and scale.
+
+    ``hazard_at_mean`` is the hazard of the representative loan, whose covariates all equal their means.
+    """
+    rows = [("(intercept)", hazard.intercept, None, None)]
+    rows += [(name, hazard.coef[name], hazard.mean[name], hazard.scale[name]) for name in hazard.features]
+    table = spark.createDataFrame(rows, "term string, coefficient double, mean double, scale double")
+    return table.withColumn("hazard_at_mean", sigmoid(F.lit(hazard.intercept)))
+
+
 def coefficient_table(spark, hazard: Hazard) -> DataFrame:
     """Standardised coefficients with the sign each is expected to have."""
     rows = [(name, hazard.coef[name], EXPECTED_SIGNS.get(name)) for name in hazard.features]

@@ -31,6 +31,14 @@ def test_hazard_fit_equals_newton(spark):
     assert np.isclose(direct, y.mean(), atol=1e-3)
 
 
+def test_parameter_table(spark):
+    df = spark.createDataFrame([(float(i % 7), float(i % 3), i % 2) for i in range(300)], "a double, b double, t int")
+    hazard = pd_models.fit_hazard(df, "t", ["a", "b"])
+    rows = {r.term: r for r in pd_models.parameter_table(spark, hazard).collect()}
+    assert rows["(intercept)"].coefficient == hazard.intercept and rows["a"].mean == hazard.mean["a"]
+    assert rows["b"].scale == hazard.scale["b"] and np.isclose(rows["a"].hazard_at_mean, 1 / (1 + np.exp(-hazard.intercept)))
+
+
 def test_unknown_inputs_are_imputed_for_the_fit(spark):
     df = spark.createDataFrame([(float(i % 7) if i % 5 else None, i % 2) for i in range(200)], "a double, t int")
     assert np.isfinite(pd_models.fit_hazard(df, "t", ["a"]).coef["a"])
