@@ -580,6 +580,12 @@ def logit_test_metrics(spark, d):
     return validation.rank_metrics(scored, "default_flag", "pd")
 
 
+@register
+def pd_logit_contributions(spark, d):
+    model = pd_models.fit_logit(split_view(spark, d, "train"))
+    return pd_models.logit_contributions(model, split_view(spark, d, "test"))
+
+
 @register
 def boosted_train_test_metrics(spark, d):
     model = pd_models.fit_boosted(split_view(spark, d, "train"))

@@ -284,6 +284,47 @@ def platt_scaled(model: PipelineModel, df: DataFrame, score: str, name: str = "p
     return df.withColumn(name, sigmoid(F.lit(intercept) + F.lit(slope) * F.col(score)))
 
 
+# The signs the PD logit's coefficients are expected to have.
+PD_EXPECTED_SIGNS = {"fico": -1, "oltv": 1, "ocltv": 1, "odti": 1, "orig_rate": 1}
+
+
+def logit_contributions(model: PdModel, df: DataFrame) -> DataFrame:
+    """Log-odds contributions of the fitted PD logit, per feature group, over the rows of ``df``.
+
+    A numeric feature contributes its coefficient times its standardised, imputed value; a coded
+    feature the coefficient of its category (0 for the dropped last level). Per group: the mean
+    absolute contribution, its rank, the correlation with the raw value (numeric features), the
+    coefficient (numeric features) and whether its sign is the expected one. One aggregate.
+    """
+    imputer, scaler, indexer, logit = model.pipeline.stages[0], model.pipeline.stages[2], model.pipeline.stages[3], model.pipeline.stages[-1]
+    medians = imputer.surrogateDF.first()
+    coef = [float(c) for c in logit.coefficients]
+    prepared = model.prepare(df)
+    terms: dict[str, Column] = {}
+    for i, name in enumerate(NUMERIC):
+        filled = F.coalesce(F.col(name), F.lit(float(medians[name])))
+        std = float(scaler.std[i]) or 1.0
+        terms[name] = F.lit(coef[i]) * (filled - F.lit(float(scaler.mean[i]))) / F.lit(std)
+    at = len(NUMERIC)
+    for name, labels in zip(CATEGORICAL, indexer.labelsArray):
+        weights = {label: coef[at + j] for j, label in enumerate(labels)}
+        at += len(labels)
+        lookup = F.create_map(*[x for label, w in weights.items() for x in (F.lit(label), F.lit(w))]) if weights else None
+        terms[name] = F.coalesce(lookup[F.col(name)], F.lit(0.0)) if lookup is not None else F.lit(0.0)
+    sums = prepared.agg(
+        *[F.avg(F.abs(t)).alias(f"a_{n}") for n, t in terms.items()],
+        *[F.corr(F.col(n), t).alias(f"r_{n}") for n, t in terms.items() if n in NUMERIC],
+    ).first()
+    rows = []
+    for n in terms:
+        c = coef[NUMERIC.index(n)] if n in NUMERIC else None
+        sign = PD_EXPECTED_SIGNS.get(n)
+        rows.append((n, float(sums[f"a_{n}"] or 0.0), sums[f"r_{n}"] if n in NUMERIC else None, c, sign, None if sign is None or c is None else bool(np.sign(c) == sign)))
+    table = df.sparkSession.createDataFrame(rows, "feature string, mean_abs double, correlation double, coefficient double, expected_sign int, sign_ok boolean")
+    # One row per feature group reaches this window.
+    return table.withColumn("importance_rank", F.row_number().over(W.orderBy(F.col("mean_abs").desc(), "feature")))
+
+
 def contributions(df: DataFrame, hazard: Hazard) -> DataFrame:
     """Mean absolute log-odds contribution of each feature, its rank, and its correlation with the feature."""
     names = hazard.features

@@ -139,6 +139,31 @@ def test_a_constant_feature_does_not_stop_scoring(spark):
     assert 0 < df.select(hazard.score().alias("p")).first().p < 1
 
 
+def test_logit_contributions_add_up_to_the_score(spark, loans):
+    train, test = loans.where("split = 'train'"), loans.where("split = 'test'")
+    model = pd_models.fit_logit(train)
+    table = {r.feature: r for r in pd_models.logit_contributions(model, test).collect()}
+    assert set(table) == set(pd_models.NUMERIC) | set(pd_models.CATEGORICAL)
+    assert sorted(r.importance_rank for r in table.values()) == list(range(1, len(table) + 1))
+    assert table["fico"].sign_ok == (table["fico"].coefficient < 0)
+    # The terms and the intercept give the model's own log-odds on a row.
+    one = test.limit(5)
+    scored = model.score(one).toPandas()
+    imputer, scaler, indexer, logit = model.pipeline.stages[0], model.pipeline.stages[2], model.pipeline.stages[3], model.pipeline.stages[-1]
+    medians, coef = imputer.surrogateDF.first(), list(logit.coefficients)
+    prepared = model.prepare(one).toPandas()
+    for (_, row), pd_value in zip(prepared.iterrows(), scored["pd"]):
+        z = logit.intercept
+        for i, name in enumerate(pd_models.NUMERIC):
+            x = row[name] if row[name] == row[name] else medians[name]
+            z += coef[i] * (x - scaler.mean[i]) / (scaler.std[i] or 1.0)
+        at = len(pd_models.NUMERIC)
+        for name, labels in zip(pd_models.CATEGORICAL, indexer.labelsArray):
+            z += coef[at + list(labels).index(row[name])] if row[name] in labels else 0.0
+            at += len(labels)
+        assert np.isclose(1 / (1 + np.exp(-z)), pd_value, atol=1e-9)
+
+
 def test_one_class_can_be_fitted(loans):
     model = pd_models.fit_logit(loans.where("default_flag = 0"))
     assert model.score(loans).agg(F.max("pd")).first()[0] < 0.5
