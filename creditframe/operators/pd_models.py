@@ -30,7 +30,6 @@ PREPAY_FEATURES = [*AGE_FEATURES, "fico", "orig_rate", "unemployment_rate", "hpi
 EXPECTED_SIGNS = {"unemployment_rate": 1, "current_ltv": 1, "fico": -1, "odti": 1}
 SEGMENT_FEATURES = ["fico", "oltv", "ocltv", "odti", "orig_rate", "orig_upb", "loan_term"]
 RARE_BELOW = 50
-MAX_CATEGORIES = 10_000
 MEDIAN_ERROR = 0.001
 
 
@@ -125,14 +124,12 @@ def coefficient_table(spark, hazard: Hazard) -> DataFrame:
 def categories(df: DataFrame, columns=CATEGORICAL, rare_below: int = RARE_BELOW) -> dict[str, tuple[list, list]]:
     """Frequent and rare categories of each coded column; one grouped pass over all columns.
 
-    They become encoder labels, which a Spark ML encoder keeps on the driver as well, so a column
-    with too many values to encode is refused.
+    They become encoder labels, which a Spark ML encoder keeps on the driver as well; all are kept,
+    however many there are.
     """
     entries = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in columns])
     counts = df.select(F.inline(entries)).groupBy("name", "value").agg(F.count("*").alias("n"))
-    rows = counts.limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories in {list(columns)}; one-hot encoding needs coded columns")
+    rows = counts.collect()  # one row per category: the encoder keeps them all on the driver anyway
     out: dict[str, tuple[list, list]] = {c: ([], []) for c in columns}
     for row in sorted(rows):
         out[row["name"]][row["n"] < rare_below].append(row["value"])

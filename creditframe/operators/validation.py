@@ -12,16 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_SIDE = 32
-BUCKETS = _SIDE * _SIDE
+#: Buckets are ``SIDE * SIDE`` ranges of scores; a parameter of ``rank_table``.
+SIDE = 32
 
 
 def rank_table(
-    df: DataFrame, y: str, score: str, by: str | None = None, measures: dict[str, Column] | None = None
+    df: DataFrame, y: str, score: str, by: str | None = None, measures: dict[str, Column] | None = None, side: int = SIDE
 ) -> DataFrame:
     """Per distinct score: n, pos, neg, the counts above it and the totals of its group.
 
-    ``measures`` names further additive columns, carried the same way as ``pos`` and ``neg``.
+    ``measures`` names further additive columns, carried the same way as ``pos`` and ``neg``. ``side``
+    sets the number of buckets (``side * side``), which only spreads the work: results are the same.
 
     1. Equal scores are folded first, so a score that many rows share is one row.
     2. Approximate quantiles of the distinct scores cut them into buckets of similar size. They only
@@ -41,6 +42,7 @@ def rank_table(
         )
     )
     names = ["pos", "neg", *(measures or {})]
+    _SIDE, BUCKETS = side, side * side  # noqa: N806
     quantiles = F.expr("array(" + ", ".join(f"{k / BUCKETS}D" for k in range(1, BUCKETS)) + ")")
     # The sums keep the columns of this aggregate's input equal to those of the main branch, which
     # lets Spark reuse the fold for both.
@@ -54,7 +56,7 @@ def rank_table(
             *names,
         ).alias("edges")
     )
-    # Two short searches of 31 edges instead of one over 1023. The bucket is never NULL, and saying so
+    # Two short searches of side - 1 edges instead of one over side * side - 1. The bucket is never NULL, and saying so
     # keeps the optimiser from testing it on the rows below the fold.
     known = lambda size: F.coalesce(size, F.lit(0))
     cut = folded.withColumn("edges", edges.scalar())

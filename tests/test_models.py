@@ -14,6 +14,14 @@ def loans(spark):
     return queries.features_view(spark, SF).persist()
 
 
+def test_bucket_count_does_not_change_ranks(spark):
+    rng = np.random.default_rng(3)
+    rows = [(float(s), int(y)) for s, y in zip(rng.integers(0, 300, 2000) / 300, rng.integers(0, 2, 2000))]
+    df = spark.createDataFrame(rows, "score double, y int")
+    tables = [sorted(map(tuple, validation.rank_table(df, "y", "score", side=side).collect())) for side in (2, 32)]
+    assert tables[0] == tables[1]
+
+
 def test_hazard_fit_equals_newton(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(4000, 2)) * [3.0, 0.5] + [10.0, -1.0]
@@ -67,11 +75,10 @@ def test_rare_categories_are_pooled_and_unknown_ones_are_not(spark, loans):
     assert [r.state for r in model.prepare(df).collect()] == ["A", "(rare)", "(unseen)"]
 
 
-def test_too_many_categories_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(pd_models, "MAX_CATEGORIES", 3)
-    df = spark.range(5).selectExpr("string(id) AS c")
-    with pytest.raises(ValueError):
-        pd_models.categories(df, ["c"])
+def test_all_categories_are_kept(spark):
+    df = spark.range(20_050).selectExpr("string(IF(id < 20000, id, 7)) AS c")
+    frequent, rare = pd_models.categories(df, ["c"])["c"]
+    assert frequent == ["7"] and len(rare) == 19_999
 
 
 def test_boosted_and_calibrated_scores(spark, loans):
