@@ -51,14 +51,32 @@ def _numeric_stages(names) -> list:
 
 
 def fit_hazard(panel: DataFrame, target: str, features: list[str], penalty: float = 1.0, steps: int = 100, tol: float = 1e-10) -> Hazard:
+    """One hazard fitted on a panel; see ``fit_hazards``."""
+    return fit_hazards(panel, {target: features}, penalty, steps, tol)[target]
+
+
+def fit_hazards(panel: DataFrame, wanted: dict[str, list[str]], penalty: float = 1.0, steps: int = 100, tol: float = 1e-10) -> dict[str, Hazard]:
+    """One hazard for each target and its features, all from one reading of the panel.
+
+    The columns that any of the fits needs are cached, spilling to disk, before the first pass: a panel comes
+    from joins and shuffles, and every pass of every fit reads the cached columns instead of running them again.
+    """
+    columns = list(dict.fromkeys([*wanted, *[f for features in wanted.values() for f in features]]))
+    data = panel.select(*columns).persist()
+    try:
+        return {target: _fit_hazard(data, target, features, penalty, steps, tol) for target, features in wanted.items()}
+    finally:
+        data.unpersist()
+
+
+def _fit_hazard(panel: DataFrame, target: str, features: list[str], penalty: float, steps: int, tol: float) -> Hazard:
     """Median impute, standardise, ridge logit with ``penalty`` on the summed loss (not on the intercept).
 
     Medians are exact (``percentile``), means and sample standard deviations come from one aggregate,
     and each Newton step is one more: the gradient and the Hessian as ``(k + 1)(k + 4) / 2`` sums over
-    the rows, solved on the driver for ``k + 1`` parameters. The needed columns are cached, spilling to
-    disk, as the panel is read once a step. Rows without a label are left out; a feature without any
-    value is imputed by 0; a constant feature is scaled by 1, so it is 0 after centring and its
-    coefficient is 0.
+    the rows, solved on the driver for ``k + 1`` parameters. Rows without a label are left out; a feature
+    without any value is imputed by 0; a constant feature is scaled by 1, so it is 0 after centring and
+    its coefficient is 0.
     """
     labelled = panel.where(F.col(target).isNotNull())
     medians = labelled.agg(*[F.percentile(F.col(f).cast("double"), F.lit(0.5)).alias(f) for f in features]).first()
@@ -72,31 +90,29 @@ def fit_hazard(panel: DataFrame, target: str, features: list[str], penalty: floa
     # The intercept and every feature that varies; a constant one keeps its coefficient at 0.
     free = np.array([True] + [bool(moments[f"s_{f}"]) for f in features])
     z = [(F.col(f) - F.lit(mean[f])) / F.lit(scale[f]) for f in features]
-    data = filled.select(*[c.alias(f"z{i}") for i, c in enumerate(z)], "label").persist()
+    data = filled.select(*[c.alias(f"z{i}") for i, c in enumerate(z)], "label")
     k = len(features)
     ridge = np.diag([0.0] + [penalty] * k)
     w = np.zeros(k + 1)
-    try:
-        for _ in range(steps):
-            eta = reduce(lambda a, b: a + b, [F.lit(float(w[i + 1])) * F.col(f"z{i}") for i in range(k)], F.lit(float(w[0])))
-            p = F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))
-            cols = [F.lit(1.0)] + [F.col(f"z{i}") for i in range(k)]
-            residual, curvature = p - F.col("label"), p * (F.lit(1.0) - p)
-            sums = [F.sum(residual * c).alias(f"g{i}") for i, c in enumerate(cols)]
-            sums += [F.sum(curvature * cols[i] * cols[j]).alias(f"h{i}_{j}") for i in range(k + 1) for j in range(i, k + 1)]
-            row = data.agg(*sums).first()
-            gradient = np.array([row[f"g{i}"] or 0.0 for i in range(k + 1)]) + ridge @ w
-            hessian = np.zeros((k + 1, k + 1))
-            for i in range(k + 1):
-                for j in range(i, k + 1):
-                    hessian[i, j] = hessian[j, i] = row[f"h{i}_{j}"] or 0.0
-            step = np.zeros(k + 1)
-            step[free] = np.linalg.solve((hessian + ridge)[np.ix_(free, free)], gradient[free])
-            w = w - step
-            if np.max(np.abs(step)) < tol:
-                break
-    finally:
-        data.unpersist()
+    for _ in range(steps):
+        eta = reduce(lambda a, b: a + b, [F.lit(float(w[i + 1])) * F.col(f"z{i}") for i in range(k)], F.lit(float(w[0])))
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))
+        rows = data.select(*[f"z{i}" for i in range(k)], "label", p.alias("p"))
+        cols = [F.lit(1.0)] + [F.col(f"z{i}") for i in range(k)]
+        residual, curvature = F.col("p") - F.col("label"), F.col("p") * (F.lit(1.0) - F.col("p"))
+        sums = [F.sum(residual * c).alias(f"g{i}") for i, c in enumerate(cols)]
+        sums += [F.sum(curvature * cols[i] * cols[j]).alias(f"h{i}_{j}") for i in range(k + 1) for j in range(i, k + 1)]
+        row = rows.agg(*sums).first()
+        gradient = np.array([row[f"g{i}"] or 0.0 for i in range(k + 1)]) + ridge @ w
+        hessian = np.zeros((k + 1, k + 1))
+        for i in range(k + 1):
+            for j in range(i, k + 1):
+                hessian[i, j] = hessian[j, i] = row[f"h{i}_{j}"] or 0.0
+        step = np.zeros(k + 1)
+        step[free] = np.linalg.solve((hessian + ridge)[np.ix_(free, free)], gradient[free])
+        w = w - step
+        if np.max(np.abs(step)) < tol:
+            break
     return Hazard(intercept=float(w[0]), coef={f: float(w[i + 1]) for i, f in enumerate(features)}, mean=mean, scale=scale)
 
 

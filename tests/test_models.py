@@ -52,6 +52,25 @@ def test_unknown_inputs_are_imputed_for_the_fit(spark):
     assert np.isfinite(pd_models.fit_hazard(df, "t", ["a"]).coef["a"])
 
 
+def counted_panel(spark, rows=200):
+    """A panel and how often its rows have been computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def reading(x):
+        seen.add(1)
+        return float(x % 7)
+
+    ids = spark.range(rows, numPartitions=2)
+    return ids.select(reading("id").alias("a"), (F.col("id") % 3).alias("b"), (F.col("id") % 2).alias("t"), (F.col("id") % 5 < 1).cast("int").alias("u")), seen
+
+
+def test_a_fit_computes_its_panel_once(spark):
+    panel, seen = counted_panel(spark)
+    pd_models.fit_hazard(panel, "t", ["a", "b"])
+    assert seen.value == 200
+
+
 def test_signs_are_reported(spark):
     rows = {r.feature: r.sign_ok for r in pd_models.coefficient_table(spark, PUBLISHED_DEFAULT).collect()}
     assert rows["unemployment_rate"] and rows["fico"] and rows["current_ltv"] and rows["odti"] and rows["orig_rate"] is None
