@@ -563,8 +563,8 @@ def default_hazard_parameters(spark, d):
 @register
 def fitted_stress_projection(spark, d):
     """Panel, both fitted hazards, roll-forward and loss in one go."""
-    default = fitted_hazard(spark, d, "default_event", pd_models.DEFAULT_FEATURES)
-    prepay = fitted_hazard(spark, d, "prepay_event", pd_models.PREPAY_FEATURES)
+    wanted = {"default_event": pd_models.DEFAULT_FEATURES, "prepay_event": pd_models.PREPAY_FEATURES}
+    default, prepay = pd_models.fit_hazards(panel_view(spark, d), wanted).values()
     paths = scenarios.scenario_paths(spark)
     rolled = projection.roll_forward(book_view(spark, d), paths, default, prepay)
     return loss.expected_loss(projection.by_quarter(rolled, paths), ASSUMED_LGD)

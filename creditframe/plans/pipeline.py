@@ -67,10 +67,8 @@ def stress_test(spark: SparkSession, tables: str, macro: DataFrame, out: str, co
     features = table(spark, tables, "features")
     sinks.write_table(panel.hazard_panel(table(spark, tables, "performance"), features, macro), f"{out}/panel")
     rows = table(spark, out, "panel")
-    hazards = {
-        name: pd_models.fit_hazard(rows, f"{name}_event", inputs)
-        for name, inputs in (("default", pd_models.DEFAULT_FEATURES), ("prepay", pd_models.PREPAY_FEATURES))
-    }
+    wanted = {"default_event": pd_models.DEFAULT_FEATURES, "prepay_event": pd_models.PREPAY_FEATURES}
+    hazards = dict(zip(("default", "prepay"), pd_models.fit_hazards(rows, wanted).values()))
     paths = scenarios.scenario_paths(spark)
     book = segments.with_bands(feat.as_of_book(features, cohort))
     rolled = projection.roll_forward(book, paths, hazards["default"], hazards["prepay"])
