@@ -285,9 +285,13 @@ def calibrate(train: DataFrame, folds: int = 3, trees: int = 400, seed: int = 42
 def fit_platt(holdout: DataFrame, y: str, score: str) -> PipelineModel:
     """Platt scaling: an unpenalised logit of the outcome on the score of a holdout."""
     rows = holdout.where(F.col(score).isNotNull() & F.col(y).isNotNull())
-    data = rows.select(F.col(score).cast("double").alias("raw"), F.col(y).cast("double").alias("label"))
+    data = rows.select(F.col(score).cast("double").alias("raw"), F.col(y).cast("double").alias("label")).persist()
     stages = [VectorAssembler(inputCols=["raw"], outputCol="features"), LogisticRegression(labelCol="label")]
-    return Pipeline(stages=stages).fit(data)
+    try:
+        # The moments, the blocks of the fit and its two summaries each read the rows: two cached columns.
+        return Pipeline(stages=stages).fit(data)
+    finally:
+        data.unpersist()
 
 
 def platt_scaled(model: PipelineModel, df: DataFrame, score: str, name: str = "pd") -> DataFrame:

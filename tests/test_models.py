@@ -71,6 +71,19 @@ def test_a_fit_computes_its_panel_once(spark):
     assert seen.value == 200
 
 
+def test_platt_computes_its_scores_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def scores(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame.assign(score=frame["id"] % 7 / 7.0, y=(frame["id"] % 2).astype("int32"))[["score", "y"]]
+
+    scored = spark.range(200, numPartitions=2).mapInPandas(scores, "score double, y int")
+    pd_models.fit_platt(scored, "y", "score")
+    assert seen.value == 200
+
+
 def test_signs_are_reported(spark):
     rows = {r.feature: r.sign_ok for r in pd_models.coefficient_table(spark, PUBLISHED_DEFAULT).collect()}
     assert rows["unemployment_rate"] and rows["fico"] and rows["current_ltv"] and rows["odti"] and rows["orig_rate"] is None
