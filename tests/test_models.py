@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from checks import queries
 from creditframe.functions.hazards import PUBLISHED_DEFAULT
 from creditframe.operators import pd_models, scorecard, validation
+from creditframe.session import ensure_checkpoint_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -123,6 +124,29 @@ def test_boosted_and_calibrated_scores(spark, loans):
     assert 0.4 < row.roc_auc < 1 and abs(mean - row.base_rate) < 0.1
 
 
+def test_boosted_fit_computes_its_rows_once(spark, loans):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def reading(state):
+        seen.add(1)
+        return state
+
+    # Computed once, so the reading is done where the rows are stored and not moved or merged.
+    train = loans.repartition(3).withColumn("state", reading("state"))
+    pd_models.fit_boosted(train, trees=1)
+    assert seen.value == train.count()
+
+
+def test_rows_of_a_boosted_fit_fill_their_tasks(spark, monkeypatch):
+    ensure_checkpoint_dir(spark)
+    monkeypatch.setattr(pd_models, "ROWS_PER_TASK", 30)
+    stored = pd_models._stored_for_trees(spark.range(0, 100, 1, 50), 100)
+    assert stored.rdd.getNumPartitions() == 4 and stored.distinct().count() == 100
+    assert pd_models._stored_for_trees(spark.range(0, 100, 1, 2), 100).rdd.getNumPartitions() == 2
+    assert pd_models._stored_for_trees(spark.range(0), 0).count() == 0
+
+
 def test_segments_and_components(spark, loans):
     table = pd_models.profiles(pd_models.segments(loans, starts=2)).orderBy("risk_rank").collect()
     assert [r.risk_rank for r in table] == [1, 2, 3, 4, 5] and sum(r.loans for r in table) == loans.count()
