@@ -219,10 +219,12 @@ def _stored_for_trees(rows: DataFrame, n: int) -> DataFrame:
     """The rows in one task for each ``ROWS_PER_TASK`` of them, stored apart from the plan that made them.
 
     A boosted fit runs five jobs a tree over the same few columns, so its time is mostly the tasks' start and
-    the plan that each of them carries: as many tasks as the rows fill, never more than there were.
+    the plan that each of them carries: as many tasks as the rows fill, at least two a core, never more than
+    there were. Rows are drawn for each tree per task, so a layout of few tasks is left as it is.
     """
-    tasks = max(1, -(-n // ROWS_PER_TASK))
-    return rows.coalesce(tasks).checkpoint()
+    tasks = max(2 * rows.sparkSession.sparkContext.defaultParallelism, -(-n // ROWS_PER_TASK))
+    # ``coalesce`` would put even an unchanged number of cached tasks in another order.
+    return (rows.coalesce(tasks) if rows.rdd.getNumPartitions() > tasks else rows).checkpoint()
 
 
 def fit_boosted(train: DataFrame, trees: int = 400, seed: int = 42) -> PdModel:
@@ -232,7 +234,7 @@ def fit_boosted(train: DataFrame, trees: int = 400, seed: int = 42) -> PdModel:
     from the cached input columns.
     """
     ensure_checkpoint_dir(train.sparkSession)
-    train = train.select("default_flag", *NUMERIC, *CATEGORICAL).persist()
+    train = train.where(F.col("default_flag").isNotNull()).persist()
     try:
         filled, model = _labelled(train)
         n, p = _class_counts(filled)

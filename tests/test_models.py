@@ -135,14 +135,16 @@ def test_boosted_fit_computes_its_rows_once(spark, loans):
     # Computed once, so the reading is done where the rows are stored and not moved or merged.
     train = loans.repartition(3).withColumn("state", reading("state"))
     pd_models.fit_boosted(train, trees=1)
-    assert seen.value == train.count()
+    assert seen.value == train.where("default_flag IS NOT NULL").count()
 
 
 def test_rows_of_a_boosted_fit_fill_their_tasks(spark, monkeypatch):
     ensure_checkpoint_dir(spark)
     monkeypatch.setattr(pd_models, "ROWS_PER_TASK", 30)
-    stored = pd_models._stored_for_trees(spark.range(0, 100, 1, 50), 100)
-    assert stored.rdd.getNumPartitions() == 4 and stored.distinct().count() == 100
+    few = 2 * spark.sparkContext.defaultParallelism
+    stored = pd_models._stored_for_trees(spark.range(0, 1000, 1, 50), 1000)
+    assert stored.rdd.getNumPartitions() == 34 and stored.distinct().count() == 1000
+    assert pd_models._stored_for_trees(spark.range(0, 100, 1, 50), 100).rdd.getNumPartitions() == few
     assert pd_models._stored_for_trees(spark.range(0, 100, 1, 2), 100).rdd.getNumPartitions() == 2
     assert pd_models._stored_for_trees(spark.range(0), 0).count() == 0
 
