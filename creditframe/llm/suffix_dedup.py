@@ -9,12 +9,15 @@ removed. Strings never cross documents.
    is ever shuffled, and no row at all for anchors that a bitmap of fixed size knows to occur once.
 2. Runs of equal content are one class, counted before anything moves. Classes of several runs are repeated
    as a whole.
-3. Of anchors with several classes, one run of each is fetched as text and its bucket's suffixes are
-   sorted, one batch of whole buckets at a time. Ranks of the strings at the places of a difference cover
-   are computed first; a suffix is then placed by its few bytes before the next such place, that place's
-   rank, and its few bytes after. Suffixes of a bucket that are equal to that depth are repeated strings.
-   Buckets of more than ``LARGE`` classes are counted by digests of their strings instead, spread over tasks.
-4. Each document gets its repeated starts as intervals and drops the bytes they cover.
+3. Of anchors with several classes, one run of each is sent as text, picked by another bitmap where the
+   texts lie; a run more that it lets through is a true place and never changes what is repeated. A bucket's
+   suffixes are sorted, one batch of whole buckets at a time. Ranks of the strings at the places of a
+   difference cover are computed first; a suffix is then placed by its few bytes before the next such place,
+   that place's rank, and its few bytes after. Suffixes of a bucket that are equal to that depth are repeated
+   strings.
+   Buckets of more than ``LARGE`` runs are counted by digests of their strings instead, spread over tasks.
+4. A document's repeated starts are merged into intervals of bytes. Only documents that a bitmap knows to
+   lose bytes are shuffled to meet their intervals; the others stay where they are.
 
 Memory is bounded by a batch of buckets, or one document.
 
@@ -30,7 +33,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditframe.llm import _rows, _text
@@ -38,7 +41,11 @@ from creditframe.session import ensure_checkpoint_dir
 
 LENGTH = 200
 GRAM = 100
-BITS = 1 << 27
+#: Bits of the bitmaps of anchors and runs, and of documents, at most; they are folded as long as few are set.
+BITS = 1 << 29
+DOC_BITS = 1 << 27
+#: The second place of a hash in a bitmap is that of the hash shifted by so many bits.
+SHIFT = 29
 LARGE = 1 << 15
 BATCH = 1 << 20
 #: A difference cover modulo 13: any two places have a common distance to places of these residues.
@@ -113,6 +120,19 @@ def runs_of(data: np.ndarray, offsets: np.ndarray):
     return text, begin - offsets[text], count, own - begin, gram[own].view(np.int64), _text.mix(content).view(np.int64)
 
 
+def _bitmap(rows: DataFrame, first: Column, second: Column, bits: int):
+    """A shared bitmap in which both places of each row's key are set, folded while at most one bit of 16 is."""
+    words = _rows.bitmap(rows.select(F.explode(F.array(first, second)).alias("key")), bits)
+    while len(words) > 64 and int(np.bitwise_count(words).sum()) <= 2 * len(words):
+        words = words[: len(words) // 2] | words[len(words) // 2 :]
+    return rows.sparkSession.sparkContext.broadcast(words)
+
+
+def _marked(shared, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Which keys have both places set."""
+    return _rows.marked(shared.value, first) & _rows.marked(shared.value, second)
+
+
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, data, offsets in _text.pieces(batches, "text"):
         different, counts = np.unique(runs_of(data, offsets)[4], return_counts=True)
@@ -126,7 +146,7 @@ def _suspected_runs(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in _text.pieces(batches, "text"):
             text, start, n, rel, gram, content = runs_of(data, offsets)
-            keep = _rows.marked(shared.value, gram.view(np.uint64))
+            keep = _marked(shared, gram, gram >> SHIFT)
             who = pa.array(text[keep])
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0).take(who), rows.column(1).take(who), *[pa.array(x[keep].astype(np.int32)) for x in (start, n, rel)],
@@ -206,19 +226,24 @@ def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield work(held)
 
 
-def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of the runs that each document was asked for."""
-    for rows, data, offsets in _text.pieces(batches, "text"):
-        raw = data.tobytes()
-        out = []
-        for k, (doc_id, version, asked) in enumerate(zip(*(rows.column(c).to_pylist() for c in (0, 1, 3)))):
-            base = int(offsets[k])
-            for a in asked:
-                span = raw[base + a["start"] : base + a["start"] + a["n"] + LENGTH - 1]
-                out.append((a["gram"], doc_id, version, a["start"], a["n"], a["rel"], span, a["large"]))
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.bool_()]
-        names = ["gram", "doc_id", "version", "start", "n", "rel", "span", "large"]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 8, types)], names=names)
+def _spans(shared):
+    """The bytes of the runs that the bitmap has by their document's key, start and anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offsets in _text.pieces(batches, "text"):
+            text, start, n, rel, gram, _ = runs_of(data, offsets)
+            key = rows.column(3).to_numpy()[text] ^ start
+            keep = _marked(shared, key, key ^ gram)
+            text, start, n = text[keep], start[keep], n[keep]
+            raw, begin, who = data.tobytes(), offsets[text] + start, pa.array(text)
+            spans = [raw[a:b] for a, b in zip(begin.tolist(), (begin + n + LENGTH - 1).tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(gram[keep]), rows.column(0).take(who), rows.column(1).take(who),
+                 *[pa.array(x.astype(np.int32)) for x in (start, n, rel[keep])], pa.array(spans, pa.binary())],
+                names=["gram", "doc_id", "version", "start", "n", "rel", "span"],
+            )
+
+    return run
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,8 +264,9 @@ def repeats(texts: DataFrame) -> DataFrame:
     spark = texts.sparkSession
     grams = texts.select("text").mapInArrow(_anchors, "gram long, n long")
     several = grams.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram")
-    shared = spark.sparkContext.broadcast(_rows.bitmap(several, BITS))
+    shared = _bitmap(several, F.col("gram"), F.shiftright("gram", SHIFT), BITS)
     found = texts.mapInArrow(_suspected_runs(shared), _RUNS).checkpoint()
+    shared.destroy()
 
     same = ["gram", "rel", "n", "content"]
     classes = found.groupBy(*same).agg(F.count("*").alias("runs"), F.min(F.struct("doc_id", "version", "start")).alias("one"))
@@ -249,24 +275,58 @@ def repeats(texts: DataFrame) -> DataFrame:
 
     # One run of each class of the anchors that have several.
     mixed = classes.groupBy("gram").agg(F.count("*").alias("k")).where("k > 1")
-    asked = _rows.hot_join(classes, mixed, ["gram"])
-    asked = asked.select("one.*", F.struct("gram", "one.start", "n", "rel", (F.col("k") > LARGE).alias("large")).alias("run"))
-    asked = asked.groupBy("doc_id", "version").agg(F.collect_list("run").alias("asked"))
-    spans = texts.join(asked, ["doc_id", "version"]).select("doc_id", "version", "text", "asked")
-    schema = "gram long, doc_id long, version int, start int, n int, rel int, span binary, large boolean"
-    spans = spans.mapInArrow(_spans, schema).dropDuplicates(["doc_id", "version", "start"]).checkpoint()
+    key = F.xxhash64("one.doc_id", "one.version").bitwiseXOR(F.col("one.start").cast("long"))
+    shared = _bitmap(_rows.hot_join(classes, mixed, ["gram"]), key, key.bitwiseXOR(F.col("gram")), BITS)
+    keyed = texts.select("doc_id", "version", "text", F.xxhash64("doc_id", "version").alias("key"))
+    schema = "gram long, doc_id long, version int, start int, n int, rel int, span binary"
+    spans = keyed.mapInArrow(_spans(shared), schema).checkpoint()
+    shared.destroy()
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    small = spans.where("not large").drop("large").repartition(n, "gram").sortWithinPartitions("gram")
+    # At most one anchor for every LARGE runs.
+    large = F.broadcast(spans.groupBy("gram").agg(F.count("*").alias("k")).where(F.col("k") > LARGE).select("gram"))
+    small = spans.join(large, "gram", "left_anti").repartition(n, "gram").sortWithinPartitions("gram")
     pieces = "doc_id long, version int, start int, n int"
     partly = small.mapInArrow(_sorted_buckets, pieces)
 
-    strings = spans.where("large").select("doc_id", "version", "start", "n", "span")
+    strings = spans.join(large, "gram", "left_semi").select("doc_id", "version", "start", "n", "span")
     strings = strings.mapInArrow(_digests, "doc_id long, version int, start int, digest binary")
     often = strings.groupBy("digest").agg(F.count("*").alias("times")).where("times > 1").select("digest")
     others = _rows.hot_join(strings, often, ["digest"]).select("doc_id", "version", "start", F.lit(1).alias("n"))
     return whole.union(partly).union(others)
 
 
+_FOUND = "array<struct<start:int,n:int>>"
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents' repeated starts as the intervals of bytes they cover, in order, those that touch as one."""
+    for batch in batches:
+        sizes = batch.column(2).value_lengths().to_numpy()
+        start, n = (x.to_numpy().astype(np.int64) for x in batch.column(2).flatten().flatten())
+        # Documents follow each other at distances that no text is long enough to bridge.
+        start = start + (np.repeat(np.arange(len(sizes)), sizes) << 32)
+        order = np.argsort(start, kind="stable")
+        start, end = start[order], np.maximum.accumulate((start + n + LENGTH - 1)[order])
+        first = np.flatnonzero(np.concatenate((np.ones(min(len(start), 1), bool), start[1:] > end[:-1])))
+        begin, size = start[first], end[np.append(first[1:], len(start)) - 1] - start[first]
+        ends = np.searchsorted(begin, np.arange(len(sizes) + 1) << 32).astype(np.int32)
+        struct = pa.StructArray.from_arrays([pa.array(x.astype(np.int32)) for x in (begin & 0xFFFFFFFF, size)], ["start", "n"])
+        found = pa.ListArray.from_arrays(pa.array(ends), struct)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], names=["doc_id", "version", "found"])
+
+
+def _losing(shared, wanted: bool):
+    """The rows whose key, the last column, is in the bitmap or is not."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                key = batch.column(batch.num_columns - 1).to_numpy()
+                yield batch.filter(pa.array(_marked(shared, key, key >> SHIFT) == wanted))
+
+    return run
+
+
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts' remaining bytes, and numbers of bytes before, of those removed and of removed runs."""
     for rows, data, offsets in _text.pieces(batches, "text"):
@@ -278,7 +338,7 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 change = np.zeros(size + 1, np.int64)
                 starts = np.array([x["start"] for x in found])
                 np.add.at(change, starts, 1)
-                np.add.at(change, starts + np.array([x["n"] for x in found]) + LENGTH - 1, -1)
+                np.add.at(change, starts + np.array([x["n"] for x in found]), -1)
                 gone = np.cumsum(change[:-1]) > 0
                 removed = int(gone.sum())
                 spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
@@ -300,9 +360,17 @@ def remove_repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: st
     rows = _rows.apart(documents, id_col, text_col).withColumn("version", F.hash("text"))
     found = repeats(rows.select("doc_id", "version", "text"))
     found = found.groupBy("doc_id", "version").agg(F.collect_list(F.struct("start", "n")).alias("found"))
-    same = rows["doc_id"].eqNullSafe(found["doc_id"]) & (rows["version"] == found["version"])
-    joined = rows.join(found, same, "left").select("text", "rest", "found")
+    found = found.mapInArrow(_merged, f"doc_id long, version int, found {_FOUND}").checkpoint()
+    key = F.xxhash64("doc_id", "version")
+    shared = _bitmap(found, key, F.shiftright(key, SHIFT), DOC_BITS)
+
+    losing = rows.select("doc_id", "version", "text", "rest", key.alias("key"))
+    losing = losing.mapInArrow(_losing(shared, True), losing.schema)
+    same = losing["doc_id"].eqNullSafe(found["doc_id"]) & (losing["version"] == found["version"])
+    joined = losing.join(found, same, "left").select("text", "rest", "found")
     rest = rows.schema["rest"].dataType.simpleString()
-    kept = joined.mapInArrow(_removed, f"kept binary, rest {rest}, n_bytes long, n_removed long, n_spans long")
-    kept = kept.withColumnRenamed("kept", "text")
+    schema = f"kept binary, rest {rest}, n_bytes long, n_removed long, n_spans long"
+    whole = rows.select("text", "rest", F.lit(None).cast(_FOUND).alias("found"), key.alias("key"))
+    whole = whole.mapInArrow(lambda batches: _removed(_losing(shared, False)(batches)), schema)
+    kept = joined.mapInArrow(_removed, schema).union(whole).withColumnRenamed("kept", "text")
     return _rows.together(kept, documents.columns, text_col, {c: F.col(c) for c in ("n_bytes", "n_removed", "n_spans")})

@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 from collections import Counter
 
@@ -63,6 +64,43 @@ def test_large_buckets_and_small_batches(spark, made_up, monkeypatch):
     assert digests(suffix_dedup.remove_repeats(df)) == brute(made_up)
 
 
+def test_bitmaps_that_let_all_through(spark, made_up, monkeypatch):
+    df = spark.createDataFrame(made_up, "doc_id long, text string")
+    monkeypatch.setattr(suffix_dedup, "BITS", 64)
+    monkeypatch.setattr(suffix_dedup, "DOC_BITS", 64)
+    assert digests(suffix_dedup.remove_repeats(df)) == brute(made_up)
+
+
+def shuffled(spark):
+    """Sizes of the session's shuffle files by path."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    files = [os.path.join(at, f) for d in folders for at, _, names in os.walk(d.getPath()) for f in names]
+    return {f: os.path.getsize(f) for f in files if os.path.basename(f).startswith("shuffle_") and f.endswith(".data")}
+
+
+def test_texts_that_lose_nothing_are_not_shuffled(spark):
+    rnd = random.Random(4)
+    rows = [(k, "".join(rnd.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=20000))) for k in range(200)]
+    rows += [(200, rows[0][1][5000:5300])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).cache()
+    df.count()
+    before = shuffled(spark)
+    got = suffix_dedup.remove_repeats(df)
+    removed = {r[0]: r[1] for r in got.select("doc_id", "n_removed").collect() if r[1]}
+    written = sum(size for f, size in shuffled(spark).items() if f not in before)
+    df.unpersist()
+    assert removed == {0: 300, 200: 300}
+    assert written < 200 * 20000 / 2
+
+
+def test_rows_without_id(spark, made_up):
+    rnd = random.Random(6)
+    a, b = ("".join(rnd.choices("abcdefgh", k=260)) for _ in range(2))
+    rows = [(None, a + "x" + b), (5, a + "y"), (7, "z" + b[20:240]), (None, None), (None, "zz"), *made_up[:20]]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert digests(got.fillna({"doc_id": -1})) == brute([(-1 if i is None else i, t) for i, t in rows])
+
+
 def test_empty_table(spark):
     assert suffix_dedup.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
