@@ -46,6 +46,8 @@ BITS = 1 << 29
 DOC_BITS = 1 << 27
 #: The second place of a hash in a bitmap is that of the hash shifted by so many bits.
 SHIFT = 29
+#: Texts whose runs are found at once: hashes of so few bytes stay in a core's cache.
+PIECE_BYTES = 1 << 17
 LARGE = 1 << 15
 BATCH = 1 << 20
 #: A difference cover modulo 13: any two places have a common distance to places of these residues.
@@ -134,7 +136,7 @@ def _marked(shared, first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, data, offsets in _text.pieces(batches, "text"):
+    for _, data, offsets in _text.pieces(batches, "text", PIECE_BYTES):
         different, counts = np.unique(runs_of(data, offsets)[4], return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(different), pa.array(counts)], names=["gram", "n"])
 
@@ -144,7 +146,7 @@ _RUNS = "doc_id long, version int, start int, n int, rel int, gram long, content
 
 def _suspected_runs(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in _text.pieces(batches, "text"):
+        for rows, data, offsets in _text.pieces(batches, "text", PIECE_BYTES):
             text, start, n, rel, gram, content = runs_of(data, offsets)
             keep = _marked(shared, gram, gram >> SHIFT)
             who = pa.array(text[keep])
@@ -230,7 +232,7 @@ def _spans(shared):
     """The bytes of the runs that the bitmap has by their document's key, start and anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in _text.pieces(batches, "text"):
+        for rows, data, offsets in _text.pieces(batches, "text", PIECE_BYTES):
             text, start, n, rel, gram, _ = runs_of(data, offsets)
             key = rows.column(3).to_numpy()[text] ^ start
             keep = _marked(shared, key, key ^ gram)
