@@ -44,8 +44,10 @@ GRAM = 100
 #: Bits of the bitmaps of anchors and runs, and of documents, at most; they are folded as long as few are set.
 BITS = 1 << 29
 DOC_BITS = 1 << 27
-#: The second place of a hash in a bitmap is that of the hash shifted by so many bits.
+#: The second place of a hash in a bitmap is told by its bits from this one on.
 SHIFT = 29
+#: Starts times this odd number lie far apart in a bitmap; the product of a start below 2**31 is a long.
+SPREAD = 0x9E3779B1
 #: Texts whose runs are found at once: hashes of so few bytes stay in a core's cache.
 PIECE_BYTES = 1 << 17
 LARGE = 1 << 15
@@ -122,17 +124,21 @@ def runs_of(data: np.ndarray, offsets: np.ndarray):
     return text, begin - offsets[text], count, own - begin, gram[own].view(np.int64), _text.mix(content).view(np.int64)
 
 
-def _bitmap(rows: DataFrame, first: Column, second: Column, bits: int):
-    """A shared bitmap in which both places of each row's key are set, folded while at most one bit of 16 is."""
-    words = _rows.bitmap(rows.select(F.explode(F.array(first, second)).alias("key")), bits)
+def _bitmap(rows: DataFrame, key: Column, other: Column, bits: int):
+    """A shared bitmap folded while at most one bit of 16 is set.
+
+    Each row sets the place of its key and one more of the same word, told by the low bits of ``other``.
+    """
+    places = F.array(key, key.bitwiseXOR(other.bitwiseAND(63)))
+    words = _rows.bitmap(rows.select(F.explode(places).alias("key")), bits)
     while len(words) > 64 and int(np.bitwise_count(words).sum()) <= 2 * len(words):
         words = words[: len(words) // 2] | words[len(words) // 2 :]
     return rows.sparkSession.sparkContext.broadcast(words)
 
 
-def _marked(shared, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+def _marked(shared, key: np.ndarray, other: np.ndarray) -> np.ndarray:
     """Which keys have both places set."""
-    return _rows.marked(shared.value, first) & _rows.marked(shared.value, second)
+    return _rows.marked(shared.value, key) & _rows.marked(shared.value, key ^ (other & 63))
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,8 +240,7 @@ def _spans(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in _text.pieces(batches, "text", PIECE_BYTES):
             text, start, n, rel, gram, _ = runs_of(data, offsets)
-            key = rows.column(3).to_numpy()[text] ^ start
-            keep = _marked(shared, key, key ^ gram)
+            keep = _marked(shared, rows.column(3).to_numpy()[text] ^ start * SPREAD, gram)
             text, start, n = text[keep], start[keep], n[keep]
             raw, begin, who = data.tobytes(), offsets[text] + start, pa.array(text)
             spans = [raw[a:b] for a, b in zip(begin.tolist(), (begin + n + LENGTH - 1).tolist())]
@@ -277,8 +282,8 @@ def repeats(texts: DataFrame) -> DataFrame:
 
     # One run of each class of the anchors that have several.
     mixed = classes.groupBy("gram").agg(F.count("*").alias("k")).where("k > 1")
-    key = F.xxhash64("one.doc_id", "one.version").bitwiseXOR(F.col("one.start").cast("long"))
-    shared = _bitmap(_rows.hot_join(classes, mixed, ["gram"]), key, key.bitwiseXOR(F.col("gram")), BITS)
+    key = F.xxhash64("one.doc_id", "one.version").bitwiseXOR(F.col("one.start").cast("long") * F.lit(SPREAD))
+    shared = _bitmap(_rows.hot_join(classes, mixed, ["gram"]), key, F.col("gram"), BITS)
     keyed = texts.select("doc_id", "version", "text", F.xxhash64("doc_id", "version").alias("key"))
     schema = "gram long, doc_id long, version int, start int, n int, rel int, span binary"
     spans = keyed.mapInArrow(_spans(shared), schema).checkpoint()
