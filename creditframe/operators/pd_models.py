@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from creditframe.functions.hazards import Hazard
 from creditframe.functions.scalars import key_fraction, round_half_up, sigmoid
-from creditframe.operators import isotonic
+from creditframe.operators import boosting, isotonic
 from creditframe.operators.features import CATEGORICAL, NUMERIC
 from creditframe.operators.target import LOAN
 from creditframe.session import ensure_checkpoint_dir
@@ -160,6 +160,8 @@ class PdModel:
 
     pipeline: PipelineModel
     known: dict[str, tuple[list, list]]
+    #: Boosted trees on the pipeline's columns, where the pipeline itself ends before the classifier.
+    trees: boosting.Trees | None = None
 
     def prepare(self, df: DataFrame) -> DataFrame:
         """Frequent categories as they are, rare ones pooled; others become an unseen label."""
@@ -176,7 +178,8 @@ class PdModel:
         prepared = self.prepare(df.select("*", *keep))
         scored = self.pipeline.transform(prepared)
         originals = [F.col(f"_in_{c}").alias(c) for c in df.columns]
-        return scored.select(*originals, vector_to_array("probability")[1].alias(name))
+        probability = self.trees.probability() if self.trees else vector_to_array("probability")[1]
+        return scored.select(*originals, probability.alias(name))
 
 
 def _labelled(df: DataFrame) -> tuple[DataFrame, PdModel]:
@@ -227,11 +230,12 @@ def _stored_for_trees(rows: DataFrame, n: int) -> DataFrame:
     return (rows.coalesce(tasks) if rows.rdd.getNumPartitions() > tasks else rows).checkpoint()
 
 
-def fit_boosted(train: DataFrame, trees: int = 400, seed: int = 42) -> PdModel:
+def fit_boosted(train: DataFrame, trees: int = 400, seed: int = 42, share: int = 1) -> PdModel:
     """Boosted-tree challenger with the positive class weighted up to the negative one.
 
     The training rows are computed once: categories, class counts and the stored rows of the fit all come
-    from the cached input columns.
+    from the cached input columns. The trees are grown by ``boosting.fit``, where ``share`` fits at the same
+    time leave each other room, or by Spark's classifier where that cannot run; they are the same trees.
     """
     ensure_checkpoint_dir(train.sparkSession)
     train = train.where(F.col("default_flag").isNotNull()).persist()
@@ -250,16 +254,29 @@ def fit_boosted(train: DataFrame, trees: int = 400, seed: int = 42) -> PdModel:
     stages = [
         Imputer(strategy="median", inputCols=NUMERIC, outputCols=numbers, relativeError=MEDIAN_ERROR),
         StringIndexer(inputCols=CATEGORICAL, outputCols=indexed, handleInvalid="keep"),
-        VectorAssembler(inputCols=[*numbers, *indexed], outputCol="features"),
+    ]
+    # The challenger's published settings (depth 5, step 0.05, row and feature shares 0.8,
+    # at least 5 rows a leaf); the tree count is the parameter ``trees`` (400).
+    settings = boosting.Settings(trees, seed, depth=5, step=0.05, row_share=0.8, feature_share=0.8, min_rows=5, bins=bins)
+    if boosting.possible(data.sparkSession):
+        model.pipeline = Pipeline(stages=stages).fit(data)
+        coded = {c: len(labels) + 1 for c, labels in zip(indexed, model.pipeline.stages[-1].labelsArray)}
+        model.trees = boosting.fit(model.pipeline.transform(data), numbers, coded, settings, n, share)
+    else:
+        model.pipeline = Pipeline(stages=[*stages, *_spark_trees([*numbers, *indexed], settings)]).fit(data)
+    return model
+
+
+def _spark_trees(columns: list[str], settings: boosting.Settings) -> list:
+    """Stages of Spark's own classifier with the same settings."""
+    return [
+        VectorAssembler(inputCols=columns, outputCol="features"),
         GBTClassifier(
-            # The challenger's published settings (depth 5, step 0.05, row and feature shares 0.8,
-            # at least 5 rows a leaf); the tree count is the parameter ``trees`` (400).
-            labelCol="label", weightCol="weight", maxIter=trees, maxDepth=5, stepSize=0.05, subsamplingRate=0.8,
-            featureSubsetStrategy="0.8", minInstancesPerNode=5, maxBins=bins, seed=seed, checkpointInterval=10,
+            labelCol="label", weightCol="weight", maxIter=settings.trees, maxDepth=settings.depth, stepSize=settings.step,
+            subsamplingRate=settings.row_share, featureSubsetStrategy=str(settings.feature_share),
+            minInstancesPerNode=settings.min_rows, maxBins=settings.bins, seed=settings.seed, checkpointInterval=10,
         ),
     ]
-    model.pipeline = Pipeline(stages=stages).fit(data)
-    return model
 
 
 @dataclass
@@ -289,7 +306,7 @@ def calibrate(train: DataFrame, folds: int = 3, trees: int = 400, seed: int = 42
     labelled = train.where(F.col("default_flag").isNotNull()).withColumn("_fold", fold).persist()
 
     def one(i: int):
-        model = fit_boosted(labelled.where(F.col("_fold") != i).drop("_fold"), trees, seed)
+        model = fit_boosted(labelled.where(F.col("_fold") != i).drop("_fold"), trees, seed, share=folds)
         held = model.score(labelled.where(F.col("_fold") == i).drop("_fold"), "raw")
         return model, isotonic.fit(held, "raw", "default_flag")
 

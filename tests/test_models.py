@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks import queries
 from creditframe.functions.hazards import PUBLISHED_DEFAULT
-from creditframe.operators import pd_models, scorecard, validation
+from creditframe.operators import boosting, pd_models, scorecard, validation
 from creditframe.session import ensure_checkpoint_dir
 
 SF = "/root/testdata/sf0.001"
@@ -138,6 +138,43 @@ def test_boosted_fit_computes_its_rows_once(spark, loans):
     assert seen.value == train.where("default_flag IS NOT NULL").count()
 
 
+def test_more_trees_start_no_more_jobs(spark, loans):
+    counts = []
+    for trees in (1, 4):
+        spark.sparkContext.setJobGroup(f"trees-{trees}", "")
+        assert len(pd_models.fit_boosted(loans, trees=trees).trees.value) == trees
+        counts.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"trees-{trees}")))
+    spark.sparkContext.setJobGroup("", "")
+    assert counts[0] == counts[1]
+
+
+@pytest.mark.parametrize("copies", [1, 14])
+def test_boosted_trees_are_those_of_spark(spark, loans, monkeypatch, copies):
+    """``copies`` of the rows: with 14, splits come from a sample and tasks hold several partitions."""
+    train = loans.where("split = 'train'").crossJoin(spark.range(copies)).repartition(1 if copies == 1 else 7, "fico").sortWithinPartitions("loan_sequence_number", "id")
+    test = loans.where("split = 'test'")
+    own = pd_models.fit_boosted(train, trees=5).score(test).orderBy("loan_sequence_number").toPandas()["pd"]
+    monkeypatch.setattr(boosting, "possible", lambda spark: False)
+    model = pd_models.fit_boosted(train, trees=5)
+    assert model.trees is None
+    assert np.allclose(own, model.score(test).orderBy("loan_sequence_number").toPandas()["pd"], rtol=0, atol=1e-12)
+
+
+def test_draws_are_those_of_spark(spark):
+    jumps = boosting._jumps(2 * 5000)
+    for seed in (43, 0, -7):
+        theirs = spark._jvm.org.apache.spark.util.random.XORShiftRandom(seed)
+        found = boosting.uniforms(seed, 5000, jumps)
+        assert len(found) == 5000 and [theirs.nextDouble() for _ in range(300)] == found[:300].tolist()
+    assert len(boosting.uniforms(1, 0, boosting._jumps(2))) == 0
+
+
+def test_unsplit_trees_give_the_mean(spark, loans):
+    flat = loans.withColumns({c: F.lit(1) for c in pd_models.NUMERIC} | {c: F.lit("a") for c in pd_models.CATEGORICAL})
+    model = pd_models.fit_boosted(flat, trees=2)
+    assert model.score(flat).select("pd").distinct().count() == 1
+
+
 def test_rows_of_a_boosted_fit_fill_their_tasks(spark, monkeypatch):
     ensure_checkpoint_dir(spark)
     monkeypatch.setattr(pd_models, "ROWS_PER_TASK", 30)
